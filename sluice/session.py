@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,16 +29,20 @@ def apply_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder stands in, and the
-    setting is filled in so that later calls agree.
+    Only where the setting is absent (tests on one machine) a temporary folder stands in for it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="sluice-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="sluice-shared-")
+        folder = _LOCAL_FOLDERS[app]
     return folder.rstrip("/")
 
 
@@ -49,3 +55,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     """Drop a folder this package wrote itself (a finished staging area)."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Needed only where it is not installed on the executors; ``--py-files`` does the same.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="sluice-code-")) / "sluice.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
