@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import apply_conf, shared_dir
+from sluice.session import apply_conf, shared_dir, ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +29,9 @@ def check(sql: str | None):
 
     def add(run: Query) -> Query:
         def configured(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return run(apply_conf(spark), sf_dir)
+            apply_conf(spark)
+            ship_package(spark, Path(__file__).resolve().parent)  # the scorers live here
+            return run(spark, sf_dir)
 
         CHECKS[run.__name__] = Check(configured, sql)
         return run

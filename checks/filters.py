@@ -65,7 +65,7 @@ _events(
 _events("filter_no_conditions", _rule(), "true")
 _events("filter_time_order", _rule({"field": "ts", "op": "gte", "value": "2024-01-10T00:00:00"}), "ts >= TIMESTAMP '2024-01-10 00:00:00'")
 
-_parts("filter_contains", _rule({"field": "p_name", "op": "contains", "value": "1"}), "contains(p_name, '1')")
+_parts("filter_contains", _rule({"field": "p_name", "op": "contains", "value": "ed w"}), "contains(p_name, 'ed w')")
 _parts("filter_starts_with", _rule({"field": "p_brand", "op": "starts_with", "value": "Brand#1"}), "starts_with(p_brand, 'Brand#1')")
 _parts("filter_ends_with", _rule({"field": "p_brand", "op": "ends_with", "value": "3"}), "ends_with(p_brand, '3')")
 _parts("filter_regex", _rule({"field": "p_brand", "op": "regex", "value": "#[1-3][0-9]*$"}), "regexp_matches(p_brand, '#[1-3][0-9]*$')")

@@ -17,8 +17,16 @@ from sluice.spec import FIELD_TYPES, ConfigError, FieldMapping, TableSchema
 _WEEK_LETTERS = "YwWue"
 # Fixed value: the characters trim strips from both ends (everything up to the space).
 _TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
-# Patterns of these letter runs always read the same number of characters.
-_FIXED_WIDTH = re.compile(r"(?:yyyy|MM|dd|HH|mm|ss|S+|[^A-Za-z'])+")
+# Letter runs that always read the same number of digits.
+_FIXED_WIDTH = re.compile(r"yyyy|MM|dd|HH|mm|ss|S+|[^A-Za-z']")
+
+
+def _shape(fmt: str) -> str | None:
+    """A regular expression for the text a fixed-width date pattern reads, if it is one."""
+    runs = _FIXED_WIDTH.findall(fmt)
+    if "".join(runs) != fmt:
+        return None
+    return "^" + "".join(f"[0-9]{{{len(r)}}}" if r[0].isalpha() else re.escape(r) for r in runs)
 
 
 class _Context:
@@ -80,12 +88,15 @@ def _date_format(ctx: _Context) -> Column:
     if isinstance(dtype, T.LongType):
         return F.date_format(F.timestamp_millis(col), fmt)
     text = col if isinstance(dtype, T.StringType) else col.cast("string")
-    attempts = [F.try_to_timestamp(text, F.lit(fmt))]
-    if _FIXED_WIDTH.fullmatch(fmt):
-        # text that goes on after the pattern still parses
-        attempts.append(F.try_to_timestamp(F.substring(text, 1, len(fmt)), F.lit(fmt)))
-    attempts.append(text.try_cast("timestamp_ntz").cast("timestamp"))
-    return F.coalesce(F.date_format(F.coalesce(*attempts), fmt), text)
+    # A parse that fails is slow, so each is tried only on text that looks the part. Text that goes on
+    # after a fixed-width pattern still parses.
+    shape = _shape(fmt)
+    if shape is not None:
+        parsed = F.when(text.rlike(shape), F.try_to_timestamp(F.substring(text, 1, len(fmt)), F.lit(fmt)))
+    else:
+        parsed = F.when(text.rlike("[0-9]"), F.try_to_timestamp(text, F.lit(fmt)))
+    iso = F.when(text.rlike("^[0-9]{4}-[0-9]"), text.try_cast("timestamp_ntz").cast("timestamp"))
+    return F.coalesce(F.date_format(F.coalesce(parsed, iso), fmt), text)
 
 
 def _if_else(ctx: _Context) -> Column:

@@ -13,7 +13,6 @@ import urllib.request
 from collections import deque
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from concurrent.futures import TimeoutError as FutureTimeout
 from decimal import Decimal
 from typing import Any
 
@@ -107,21 +106,23 @@ register_scorer("http", http_scorer)
 # --- the step ---------------------------------------------------------------------------------
 
 
-def _batches(frames: Iterator[pa.RecordBatch], size: int, batch_by: str | None) -> Iterator[pa.Table]:
-    """Regroup Arrow batches into tables of ``size`` rows; only a partition's last one may be short.
+def _chunks(frames: Iterator[pa.RecordBatch], size: int, batch_by: str | None) -> Iterator[tuple[pa.Table, list]]:
+    """Arrow batches as (rows, where to cut them into model batches of ``size``).
 
-    With ``batch_by`` a batch holds one value of that column only (and each Arrow batch is cut on its
-    own, so that nothing is held back).
+    Rows that do not fill a batch move on to the next chunk, so that only a partition's last batch
+    is short. With ``batch_by`` a batch holds one value of that column only: rows of a chunk are
+    taken value by value, and nothing is moved on.
     """
     if batch_by is not None:
         for frame in frames:
-            table = pa.Table.from_batches([frame])
-            groups: dict[Any, list[int]] = {}
-            for i, key in enumerate(table.column(batch_by).to_pylist()):
-                groups.setdefault(key, []).append(i)
-            for rows in groups.values():
-                for at in range(0, len(rows), size):
-                    yield table.take(rows[at : at + size])
+            rows: dict[Any, list[int]] = {}
+            for i, key in enumerate(frame.column(frame.schema.get_field_index(batch_by)).to_pylist()):
+                rows.setdefault(key, []).append(i)
+            cuts, at = [], 0
+            for group in rows.values():
+                cuts += [(at + i, at + min(i + size, len(group))) for i in range(0, len(group), size)]
+                at += len(group)
+            yield pa.Table.from_batches([frame]).take([i for group in rows.values() for i in group]), cuts
         return
     held: pa.Table | None = None
     for frame in frames:
@@ -129,11 +130,15 @@ def _batches(frames: Iterator[pa.RecordBatch], size: int, batch_by: str | None)
         if held is not None:
             table = pa.concat_tables([held, table])
         whole = table.num_rows - table.num_rows % size
-        for at in range(0, whole, size):
-            yield table.slice(at, size)
+        if whole:
+            yield table.slice(0, whole), [(i, i + size) for i in range(0, whole, size)]
         held = table.slice(whole) if whole < table.num_rows else None
     if held is not None:
-        yield held
+        yield held, [(0, held.num_rows)]
+
+
+def _part(inputs: pd.DataFrame, start: int, stop: int) -> pd.DataFrame:
+    return inputs.iloc[start:stop].reset_index(drop=True)
 
 
 def _plain(value: Any) -> Any:
@@ -214,62 +219,50 @@ def infer(
     targets = {n: to_arrow_type(out_schema[n].dataType) for n in spec.output_fields}
     arrow_schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in out_schema.fields])
 
-    def finish(table: pa.Table, outcome: Callable[[], Any]) -> pa.Table | None:
+    def columns_of(rows: int, outcome: Callable[[], Any]) -> dict[str, pa.Array] | None:
+        """One batch's outputs; None to leave its rows out."""
         try:
             # a value the declared type cannot hold is the scorer's failure too
-            columns = {
-                n: _arrow_column(values, table.num_rows, targets[n])
-                for n, values in _results(outcome(), spec.output_fields).items()
-            }
+            made = _results(outcome(), spec.output_fields)
+            return {n: _arrow_column(values, rows, targets[n]) for n, values in made.items()}
         except Exception as e:
             if spec.failure_strategy == "FAIL":
-                raise RuntimeError(f"function {spec.function_id}: batch of {table.num_rows} rows failed") from e
-            if spec.failure_strategy == "SKIP":
-                return None
-            columns = {n: pa.nulls(table.num_rows, t) for n, t in targets.items()}
-        arrays = [columns[n] if n in columns else table.column(n).cast(arrow_schema.field(n).type) for n in arrow_schema.names]
-        return pa.Table.from_arrays(arrays, schema=arrow_schema)
+                raise RuntimeError(f"function {spec.function_id}: batch of {rows} rows failed") from e
+            return None if spec.failure_strategy == "SKIP" else {n: pa.nulls(rows, t) for n, t in targets.items()}
 
-    def inputs(table: pa.Table) -> pd.DataFrame:
-        return table.select(list(spec.input_fields)).to_pandas(types_mapper=_PANDAS.get)
+    def one_by_one(inputs: pd.DataFrame, cuts: list, score: Scorer) -> Iterator[dict | None]:
+        for start, stop in cuts:
+            yield columns_of(stop - start, lambda start=start, stop=stop: score(_part(inputs, start, stop)))
 
-    def one_by_one(tables: Iterator[pa.Table], score: Scorer) -> Iterator[pa.Table | None]:
-        for table in tables:
-            yield finish(table, lambda table=table: score(inputs(table)))
-
-    def overlapped(tables: Iterator[pa.Table], score: Scorer) -> Iterator[pa.Table | None]:
+    def overlapped(inputs: pd.DataFrame, cuts: list, score: Scorer) -> Iterator[dict | None]:
+        """Up to ``in_flight`` calls at a time, each given ``async_timeout_ms`` once it is waited for."""
+        pool = ThreadPoolExecutor(max_workers=min(in_flight, len(cuts)))
         seconds = spec.async_timeout_ms / 1000
-        pool = ThreadPoolExecutor(max_workers=in_flight)
         waiting: deque = deque()
-
-        def settle() -> pa.Table | None:
-            table, future = waiting.popleft()
-
-            def outcome():
-                try:
-                    return future.result(timeout=seconds)
-                except FutureTimeout:
-                    future.cancel()
-                    raise
-
-            return finish(table, outcome)
-
         try:
-            for table in tables:
-                waiting.append((table, pool.submit(score, inputs(table))))
+            for start, stop in cuts:
+                waiting.append((stop - start, pool.submit(score, _part(inputs, start, stop))))
                 if len(waiting) >= in_flight:
-                    yield settle()
+                    rows, call = waiting.popleft()
+                    yield columns_of(rows, lambda call=call: call.result(timeout=seconds))
             while waiting:
-                yield settle()
+                rows, call = waiting.popleft()
+                yield columns_of(rows, lambda call=call: call.result(timeout=seconds))
         finally:
             pool.shutdown(wait=False, cancel_futures=True)
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = factory(spec)
-        tables = _batches(frames, spec.batch_size, batch_by)
-        for table in (one_by_one if in_flight == 1 else overlapped)(tables, score):
-            if table is not None:
-                yield from table.to_batches()
+        call = one_by_one if in_flight == 1 else overlapped
+        for table, cuts in _chunks(frames, spec.batch_size, batch_by):
+            inputs = table.select(list(spec.input_fields)).to_pandas(types_mapper=_PANDAS.get)
+            results = list(call(inputs, cuts, score))
+            kept = [cut for cut, made in zip(cuts, results) if made is not None]
+            if len(kept) < len(cuts):
+                table = pa.concat_tables([table.slice(0, 0), *(table.slice(a, b - a) for a, b in kept)])
+            made = {n: pa.chunked_array([r[n] for r in results if r is not None], t) for n, t in targets.items()}
+            arrays = [made[f.name] if f.name in made else table.column(f.name).cast(f.type) for f in arrow_schema]
+            yield from pa.Table.from_arrays(arrays, schema=arrow_schema).combine_chunks().to_batches()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, out_schema)

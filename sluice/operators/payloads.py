@@ -109,14 +109,18 @@ def parse_responses(
         answers = F.get(tensor["outputs"], F.lit(0))["data"]
     else:
         answers = _answers(spec, doc)
-    opened = batches.select(answers.alias("_answers"), F.posexplode("rows").alias("_pos", "_row"))
+    rows = ref("rows")
     width = len(spec.output_fields)
+    if triton:
+        answers = F.transform(rows, lambda r, i: F.slice(answers, i * width + 1, width))
+    # zipped before they are opened, so that a row carries its own answer and not the whole list
+    pairs = F.arrays_zip(rows.alias("row"), F.slice(answers, 1, F.size(rows)).alias("answer"))
+    opened = batches.select(F.explode(pairs).alias("_pair")).select(
+        F.col("_pair")["row"].alias("_row"), F.col("_pair")["answer"].alias("_answer")
+    )
     made = {}
     for j, name in enumerate(spec.output_fields):
-        if triton:
-            value = F.get(F.col("_answers"), F.col("_pos") * width + j)
-        else:
-            value = F.get(F.col("_answers"), F.col("_pos"))[name]
+        value = F.get(F.col("_answer"), F.lit(j)) if triton else F.col("_answer")[name]
         field = declared.field(name) if declared else None
         if field is not None:
             value = value.cast(spark_type(field))

@@ -57,21 +57,20 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-_SHIPPED: set[str] = set()
+_SHIPPED: set[tuple[str, Path]] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per application.
+def ship_package(spark: SparkSession, package: Path = Path(__file__).resolve().parent) -> None:
+    """Send a Python package folder to the workers, once per application; by default this one.
 
     Needed only where it is not installed on the executors; ``--py-files`` does the same.
     """
     context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
+    if (context.applicationId, package) in _SHIPPED:
         return
-    root = Path(__file__).resolve().parent
-    target = Path(tempfile.mkdtemp(prefix="sluice-code-")) / "sluice.zip"
+    target = Path(tempfile.mkdtemp(prefix="sluice-code-")) / f"{package.name}.zip"
     with zipfile.ZipFile(target, "w") as archive:
-        for source in sorted(root.rglob("*.py")):
-            archive.write(source, source.relative_to(root.parent))
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
     context.addPyFile(str(target))
-    _SHIPPED.add(context.applicationId)
+    _SHIPPED.add((context.applicationId, package))
