@@ -90,7 +90,8 @@ def _answers(spec: InferenceSpec, response: Column) -> Column:
     key = _result_key(spec)
     bare = F.from_json(response, f"ARRAY<{item}>")
     wrapped = F.from_json(response, f"STRUCT<{quote(key)}: ARRAY<{item}>>")[key]
-    return F.when(F.ltrim(response).startswith("["), bare).otherwise(wrapped)
+    found = F.when(F.ltrim(response).startswith("["), bare).otherwise(wrapped)
+    return F.coalesce(found, F.array().cast(f"ARRAY<{item}>"))
 
 
 def parse_responses(

@@ -11,7 +11,7 @@ from sluice.operators.aggregate import WINDOW_COLUMN
 from sluice.operators.inference import ScorerFactory
 from sluice.plans.chain import Chain
 from sluice.schema import conform
-from sluice.session import apply_conf
+from sluice.session import apply_conf, path_exists
 from sluice.sinks import ddl
 from sluice.sinks.keyed import BUCKET_COLUMN, KeyedTable
 from sluice.sources.decode import decode_json
@@ -92,7 +92,8 @@ def ensure_table(spark: SparkSession, job: JobSpec, fmt: str = "parquet") -> str
             BUCKET_COLUMN if keyed else None,
         )
     )
-    if keyed or (job.schema.partition_keys and not row_level):
+    foldered = keyed or (job.schema.partition_keys and not row_level)
+    if foldered and path_exists(spark, ddl.table_path(lake, job.schema)):
         # a table found at its path already has folders the catalog may not know
         spark.sql(f"ALTER TABLE {identifier} RECOVER PARTITIONS")
     return identifier
