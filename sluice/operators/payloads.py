@@ -23,6 +23,8 @@ from sluice.spec import ConfigError, InferenceSpec, TableSchema
 # The list a JSON answer carries its results in, by service type.
 _RESULT_KEY = {"torchserve": "predictions"}
 _GENERIC_RESULT_KEY = "results"
+# Exact copies of a row kept together when copies are spread over buckets.
+_SLICE = 4096
 
 
 def _result_key(spec: InferenceSpec) -> str:
@@ -59,24 +61,54 @@ def _request(spec: InferenceSpec, rows: Column, schema: T.StructType) -> Column:
     return F.to_json(F.struct(model, F.transform(rows, items).alias("inputs")), keep_nulls)
 
 
-def build_requests(df: DataFrame, spec: InferenceSpec, key: Sequence[str], buckets: int | None = None) -> DataFrame:
+def _with_positions(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """``_bucket, _at, row``: rows numbered from 0 in key order inside hash buckets of the whole row."""
+    row = F.struct(*(ref(c) for c in df.columns))
+    in_bucket = Window.partitionBy("_bucket").orderBy(*(F.col("row")[k] for k in key))
+    return df.select(
+        F.pmod(F.xxhash64(*(ref(c) for c in df.columns)), F.lit(buckets)).cast("int").alias("_bucket"), row.alias("row")
+    ).withColumn("_at", F.row_number().over(in_bucket) - 1)
+
+
+def _with_copy_positions(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    """The same for rows with many exact copies, which all hash to one bucket.
+
+    Copies are counted first (combined map-side) and spread over buckets in slices, so that a group of
+    copies, however large, is neither shuffled whole nor numbered by one task.
+    """
+    columns = [ref(c) for c in df.columns]
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    last_slice = F.expr(f"(_n - 1) div {_SLICE}")
+    sliced = counted.select(*columns, "_n", F.explode(F.sequence(F.lit(0).cast("bigint"), last_slice)).alias("_slice"))
+    placed = sliced.select(
+        F.pmod(F.xxhash64(*columns, F.col("_slice")), F.lit(buckets)).cast("int").alias("_bucket"),
+        F.struct(*columns).alias("row"),
+        F.least(F.lit(_SLICE).cast("bigint"), F.col("_n") - F.col("_slice") * _SLICE).alias("_copies"),
+        "_slice",
+    )
+    in_bucket = Window.partitionBy("_bucket").orderBy(*(F.col("row")[k] for k in key), F.xxhash64("row"), "_slice")
+    before = F.sum("_copies").over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_copies")
+    copies = F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1)
+    numbered = placed.withColumn("_before", before).select("_bucket", "row", "_before", F.explode(copies).alias("_copy"))
+    return numbered.select("_bucket", "row", (F.col("_before") + F.col("_copy")).alias("_at"))
+
+
+def build_requests(
+    df: DataFrame, spec: InferenceSpec, key: Sequence[str], buckets: int | None = None, copies: bool = False
+) -> DataFrame:
     """``bucket, batch_no, rows, request``: one request document per ``spec.batch_size`` rows.
 
-    ``key`` names columns that tell rows apart. Rows are numbered in key order inside hash buckets of
-    the key, so numbering is spread over ``buckets`` tasks and comes out the same when a task runs
-    again; a group holds at most one batch. ``rows`` keeps the whole input rows in request order.
+    Rows are numbered in ``key`` order inside ``buckets`` hash buckets, so the numbering is spread over
+    tasks and comes out the same when a task runs again; a group holds at most one batch. ``rows``
+    keeps the whole input rows in request order. Set ``copies`` for input in which one row may be
+    repeated very many times; it costs one more shuffle.
     """
     for name in (*spec.input_fields, *key):
         require_column(df.schema, name, f"function {spec.function_id!r} request")
-    count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    key_columns = [ref(k) for k in key]
-    in_bucket = Window.partitionBy("_bucket").orderBy(*key_columns)
-    numbered = (
-        df.withColumn("_bucket", F.pmod(F.xxhash64(*key_columns), F.lit(count)).cast("int"))
-        .withColumn("_at", F.row_number().over(in_bucket) - 1)
-        .select("_bucket", "_at", F.struct(*(ref(c) for c in df.columns)).alias("row"))
-    )
-    batch_no = F.floor(F.col("_at") / spec.batch_size).cast("int").alias("batch_no")
+    # several buckets per shuffle partition, so that their hash spreads evenly
+    count = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (_with_copy_positions if copies else _with_positions)(df, key, count)
+    batch_no = F.floor(F.col("_at") / spec.batch_size).alias("batch_no")
     grouped = numbered.groupBy(F.col("_bucket").alias("bucket"), batch_no).agg(
         F.sort_array(F.collect_list(F.struct("_at", "row"))).alias("_rows")
     )
@@ -103,31 +135,27 @@ def parse_responses(
     type, without one double for ``triton`` and text otherwise; they overwrite input columns of the
     same name.
     """
-    doc = ref(response)
-    triton = spec.service_type == "triton"
-    if triton:
+    doc, rows, count = ref(response), ref("rows"), F.size("rows")
+    width = len(spec.output_fields)
+    if spec.service_type == "triton":
         tensor = F.from_json(doc, "STRUCT<outputs: ARRAY<STRUCT<data: ARRAY<DOUBLE>>>>")
-        answers = F.get(tensor["outputs"], F.lit(0))["data"]
+        data = F.coalesce(F.get(tensor["outputs"], F.lit(0))["data"], F.array().cast("array<double>"))
+        # every width-th number belongs to one output
+        lists = [F.filter(data, lambda _, i, j=j: i % width == j) for j in range(width)]
     else:
-        answers = _answers(spec, doc)
-    rows = ref("rows")
-    width = len(spec.output_fields)
-    if triton:
-        answers = F.transform(rows, lambda r, i: F.slice(answers, i * width + 1, width))
+        lists = [_answers(spec, doc)]
     # zipped before they are opened, so that a row carries its own answer and not the whole list
-    pairs = F.arrays_zip(rows.alias("row"), F.slice(answers, 1, F.size(rows)).alias("answer"))
-    opened = batches.select(F.explode(pairs).alias("_pair")).select(
-        F.col("_pair")["row"].alias("_row"), F.col("_pair")["answer"].alias("_answer")
-    )
+    answers = [F.slice(values, 1, count).alias(f"a{j}") for j, values in enumerate(lists)]
+    opened = batches.select(F.explode(F.arrays_zip(rows.alias("row"), *answers)).alias("_pair")).select("_pair.*")
     made = {}
     for j, name in enumerate(spec.output_fields):
-        value = F.get(F.col("_answer"), F.lit(j)) if triton else F.col("_answer")[name]
+        value = F.col(f"a{j}") if spec.service_type == "triton" else F.col("a0")[name]
         field = declared.field(name) if declared else None
         if field is not None:
             value = value.cast(spark_type(field))
         made[name] = value.alias(name)
     inputs = [f.name for f in batches.schema["rows"].dataType.elementType.fields]
-    kept = [F.col("_row")[c].alias(c) for c in inputs if c not in made]
+    kept = [F.col("row")[c].alias(c) for c in inputs if c not in made]
     return opened.select(*kept, *made.values())
 
 

@@ -46,15 +46,43 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = _file_system(spark, path)
+    return fs.exists(hadoop_path)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
     """Drop a folder this package wrote itself (a finished staging area)."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    fs, hadoop_path = _file_system(spark, path)
+    fs.delete(hadoop_path, True)
+
+
+def subfolders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Folders ``depth`` levels below ``path``, as paths relative to it."""
+    fs, hadoop_path = _file_system(spark, path)
+    names = [s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory()]
+    if depth == 1:
+        return names
+    return [f"{name}/{below}" for name in names for below in subfolders(spark, f"{path}/{name}", depth - 1)]
+
+
+def replace_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Move ``source`` to where ``target`` is; true if ``target`` is new. Both on one file system."""
+    fs, new = _file_system(spark, source)
+    old = spark._jvm.org.apache.hadoop.fs.Path(target)
+    existed = fs.exists(old)
+    if existed:
+        fs.delete(old, True)
+    else:
+        fs.mkdirs(old.getParent())
+    if not fs.rename(new, old):
+        raise OSError(f"could not move {source} to {target}")
+    return not existed
 
 
 _SHIPPED: set[tuple[str, Path]] = set()

@@ -3,14 +3,16 @@
 An upsert replaces whole rows by key and rewrites only the folders (partition keys and key bucket)
 the batch touches. It works in three steps so that a lost executor or driver never loses rows:
 
-1. the batch is evaluated once and written to the staging area, one row per key;
-2. the touched folders are merged with it into the staging area;
-3. the merged folders replace the live ones. A run that died here repeats this step from staging.
+1. the batch is evaluated once and written to the shared folder, one row per key;
+2. the touched folders are merged with it into a staging folder beside the table;
+3. each merged folder is moved to the place of the live one, which writes nothing again. A run that
+   died here goes on with the folders still in staging.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,14 +21,15 @@ from pyspark.sql import types as T
 
 from sluice.operators.enrich import latest_per_key
 from sluice.schema import conform, null_violations, ref, struct_type
-from sluice.session import path_exists, remove_path, shared_dir
+from sluice.session import path_exists, remove_path, replace_folder, shared_dir, subfolders
 from sluice.spec import ConfigError, TableSchema
 
 BUCKET_COLUMN = "_bucket"
-# Touched folder values are listed for partition pruning up to this many; beyond it the semi join
-# alone picks the rows.
-_LISTED_VALUES = 10_000
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# Touched folders are listed for partition pruning up to this many; beyond it the semi join alone
+# picks the rows.
+_LISTED_FOLDERS = 10_000
+# Folders moved at a time; each move is a few calls to the file system.
+_MOVES = 16
 _LISTABLE = (T.StringType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
 
 
@@ -72,23 +75,37 @@ class KeyedTable:
         """The current rows, one per key."""
         return self._read_folder(self.path).select(*(ref(n) for n in self.schema.names))
 
-    def _write(self, df: DataFrame, path: str, dynamic: bool) -> None:
-        # rebalance: one task per folder, but a big folder is split over several
-        even = df.hint("rebalance", *(ref(c) for c in self.layout))
-        mode = "dynamic" if dynamic else "static"
-        writer = even.write.mode("overwrite").option("partitionOverwriteMode", mode)
-        writer.partitionBy(*self.layout).parquet(path)
-
-    def _touched_folders(self, incoming: DataFrame) -> DataFrame:
-        """The stored rows of every folder the batch has rows for."""
+    def _touched_folders(self, incoming: DataFrame) -> tuple[DataFrame, bool]:
+        """The stored rows of every folder the batch has rows for, and whether it has any rows."""
         stored = self._read_folder(self.path)
         touched = incoming.select(*(ref(c) for c in self.layout)).distinct()
-        for name in self.layout:
-            if isinstance(stored.schema[name].dataType, _LISTABLE):
-                values = [r[0] for r in touched.select(ref(name)).distinct().limit(_LISTED_VALUES + 1).collect()]
-                if len(values) <= _LISTED_VALUES:
-                    stored = stored.filter(ref(name).isin(values))
-        return stored.join(touched, self.layout, "left_semi")
+        listed = touched.limit(_LISTED_FOLDERS + 1).collect()
+        if len(listed) <= _LISTED_FOLDERS:
+            for name in self.layout:
+                if isinstance(stored.schema[name].dataType, _LISTABLE):
+                    stored = stored.filter(ref(name).isin({r[name] for r in listed}))
+        return stored.join(touched, self.layout, "left_semi"), bool(listed)
+
+    def _stage_merged(self, merged: DataFrame, path: str) -> None:
+        # rebalance: one task per folder, but a big folder is split over several
+        even = merged.hint("rebalance", *(ref(c) for c in self.layout))
+        even.write.mode("overwrite").partitionBy(*self.layout).parquet(path)
+
+    def _publish(self, staged: str) -> None:
+        """Move every staged folder to the place of the live one."""
+        folders = subfolders(self.spark, staged, len(self.layout))
+
+        def move(folder: str) -> bool:
+            return replace_folder(self.spark, f"{staged}/{folder}", f"{self.path.rstrip('/')}/{folder}")
+
+        with ThreadPoolExecutor(_MOVES) as pool:
+            new = list(pool.map(move, folders))
+        if self.name is None:
+            self.spark.catalog.refreshByPath(self.path)
+            return
+        if any(new):
+            self.spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(self.name)
 
     def upsert(
         self,
@@ -104,32 +121,17 @@ class KeyedTable:
         of one key in the batch. A row with an empty required field fails the batch, is dropped
         (``on_null="drop"``) or set aside under ``<path>__rejected`` (``"quarantine"``).
         """
-        stage = f"{shared_dir(self.spark)}/sluice-stage/{self.schema.table}/{run_id}/{batch_id}"
-        merged = f"{stage}/merged"
-        if not path_exists(self.spark, f"{merged}/_SUCCESS"):
-            incoming = self._stage_incoming(rows, stage, batch_id, run_id, order_by, on_null)
-            if incoming.isEmpty():
-                remove_path(self.spark, stage)
-                return
-            merged_rows = merge_rows(self._touched_folders(incoming), incoming, self.schema.primary_keys)
-            self._write(merged_rows, merged, dynamic=False)
-        self._publish(self._read_folder(merged))
-        remove_path(self.spark, stage)
-
-    def _publish(self, merged: DataFrame) -> None:
-        """Replace the live folders that ``merged`` has rows for."""
-        if self.name is None:
-            self._write(merged, self.path, dynamic=True)
-            return
-        # through the catalog, so that new folders are known to it
-        before = self.spark.conf.get(_OVERWRITE_MODE)
-        self.spark.conf.set(_OVERWRITE_MODE, "dynamic")
-        try:
-            columns = self.spark.table(self.name).columns
-            even = merged.hint("rebalance", *(ref(c) for c in self.layout))
-            even.select(*(ref(c) for c in columns)).write.insertInto(self.name, overwrite=True)
-        finally:
-            self.spark.conf.set(_OVERWRITE_MODE, before)
+        shared = f"{shared_dir(self.spark)}/sluice-stage/{self.schema.table}/{run_id}/{batch_id}"
+        staged = f"{self.path.rstrip('/')}__staged/{run_id}/{batch_id}"
+        if not path_exists(self.spark, f"{staged}/_SUCCESS"):
+            incoming = self._stage_incoming(rows, shared, batch_id, run_id, order_by, on_null)
+            stored, any_rows = self._touched_folders(incoming)
+            if any_rows:
+                self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys), staged)
+        if path_exists(self.spark, staged):
+            self._publish(staged)
+            remove_path(self.spark, staged)
+        remove_path(self.spark, shared)
 
     def _stage_incoming(self, rows, stage, batch_id, run_id, order_by, on_null) -> DataFrame:
         names = [o for o in order_by if isinstance(o, str)]

@@ -188,6 +188,16 @@ def test_spark_requests_are_cut_and_numbered(rows):
         assert numbers == list(range(len(numbers)))
 
 
+def test_copies_are_spread_and_kept_whole(spark):
+    df = spark.range(20000).select(F.lit(7).cast("bigint").alias("a"), F.lit(1.0).alias("b")).union(spark.range(50).select("id", F.lit(None).cast("double")))
+    made = build_requests(df, spec(batch_size=64), ["a"], buckets=8, copies=True)
+    back = made.select(F.explode("rows").alias("r")).select("r.a", "r.b")
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+    sizes = made.groupBy("bucket").agg(F.sum(F.size("rows")).alias("n"), F.max(F.size("rows")).alias("high"), F.count("*").alias("batches")).collect()
+    assert max(r.n for r in sizes) <= 2 * 4096 + 50 and max(r.high for r in sizes) == 64
+    assert all(r.batches == -(-r.n // 64) for r in sizes)
+
+
 @pytest.mark.parametrize(
     "service_type, response, expected",
     [

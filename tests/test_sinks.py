@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from sluice import ConfigError, KeyedTable, TableSchema, conform, dedup, latest_per_key, lookup_enrich
 from sluice.schema import null_violations
-from sluice.session import path_exists, shared_dir
-from sluice.sinks import ddl
+from sluice.session import path_exists, remove_path, shared_dir
+from sluice.sinks import ddl, keyed
 
 SCHEMA = TableSchema.from_json(
     {
@@ -45,6 +45,7 @@ def test_upsert_replaces_whole_rows_and_touches_only_its_folders(spark, tmp_path
     target.upsert(update, 1, order_by=["seq"])
     assert state_with_nulls(target) == expected
     assert not path_exists(spark, f"{shared_dir(spark)}/sluice-stage/state/batch/1")
+    assert not path_exists(spark, str(tmp_path / "t__staged/batch/1"))
 
 
 def state_with_nulls(table):
@@ -55,15 +56,13 @@ def test_a_run_that_died_while_publishing_goes_on_from_staging(spark, tmp_path,
     target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, buckets=1)
     target.upsert(rows(spark, ("2024-01-01", 1, 1.0, 1), ("2024-01-01", 2, 2.0, 1)), 0)
 
-    def die(self, merged):
+    def die(spark, source, target):
         # the live folder is gone and nothing has taken its place
-        import shutil
-
-        shutil.rmtree(tmp_path / "t" / "day=2024-01-01")
+        remove_path(spark, target)
         raise RuntimeError("driver lost")
 
     update = rows(spark, ("2024-01-01", 1, 5.0, 1))
-    monkeypatch.setattr(KeyedTable, "_publish", die)
+    monkeypatch.setattr(keyed, "replace_folder", die)
     with pytest.raises(RuntimeError):
         target.upsert(update, 7, "run")
     monkeypatch.undo()
