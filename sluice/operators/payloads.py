@@ -126,6 +126,11 @@ def _answers(spec: InferenceSpec, response: Column) -> Column:
     return F.coalesce(found, F.array().cast(f"ARRAY<{item}>"))
 
 
+def _every(numbers: Column, width: int, first: int) -> Column:
+    """The numbers at positions ``first``, ``first + width``, ..."""
+    return F.filter(numbers, lambda _, i: i % width == first)
+
+
 def parse_responses(
     batches: DataFrame, spec: InferenceSpec, declared: TableSchema | None = None, response: str = "response"
 ) -> DataFrame:
@@ -140,8 +145,7 @@ def parse_responses(
     if spec.service_type == "triton":
         tensor = F.from_json(doc, "STRUCT<outputs: ARRAY<STRUCT<data: ARRAY<DOUBLE>>>>")
         data = F.coalesce(F.get(tensor["outputs"], F.lit(0))["data"], F.array().cast("array<double>"))
-        # every width-th number belongs to one output
-        lists = [F.filter(data, lambda _, i, j=j: i % width == j) for j in range(width)]
+        lists = [_every(data, width, j) for j in range(width)]
     else:
         lists = [_answers(spec, doc)]
     # zipped before they are opened, so that a row carries its own answer and not the whole list
