@@ -28,6 +28,14 @@ def _parts(name: str, rule: FilterRule, where: str) -> None:
     )
 
 
+def _lines(name: str, rule: FilterRule, where: str) -> None:
+    register(
+        name,
+        lambda spark, sf: filter_rows(table(spark, sf, "lineitem"), rule).select("l_orderkey", "l_linenumber", "l_quantity"),
+        f"SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE {where}",
+    )
+
+
 _events("filter_eq", _rule({"field": "event_type", "op": "eq", "value": "purchase"}), "event_type IS NOT DISTINCT FROM 'purchase'")
 _events("filter_ne", _rule({"field": "event_type", "op": "ne", "value": "purchase"}), "event_type IS DISTINCT FROM 'purchase'")
 _events("filter_eq_null", _rule({"field": "event_type", "op": "eq", "value": None}), "event_type IS NULL")
@@ -39,15 +47,9 @@ _events("filter_gt_null_literal", _rule({"field": "value", "op": "gt", "value":
 _events("filter_in", _rule({"field": "event_type", "op": "in", "values": ["click", "signup"]}), "coalesce(event_type IN ('click', 'signup'), false)")
 _events("filter_not_in", _rule({"field": "event_type", "op": "not_in", "values": ["click", "signup"]}), "NOT coalesce(event_type IN ('click', 'signup'), false)")
 _events("filter_in_with_null", _rule({"field": "event_type", "op": "in", "values": ["click", None]}), "event_type IS NULL OR event_type = 'click'")
-_events("filter_in_typed", _rule({"field": "user_id", "op": "in", "values": [1, "2", 3.0, 4.5, "x"]}), "user_id IN (1, 2, 3)")
 _events("filter_null", _rule({"field": "event_type", "op": "is_null"}), "event_type IS NULL")
 _events("filter_not_null", _rule({"field": "event_type", "op": "not_null"}), "event_type IS NOT NULL")
 _events("filter_text_form", _rule({"field": "user_id", "op": "contains", "value": 7}), "contains(CAST(user_id AS VARCHAR), '7')")
-_events(
-    "filter_whole_number_bounds",
-    _rule({"field": "user_id", "op": "gt", "value": 10.5}, {"field": "user_id", "op": "lte", "value": "100.5"}),
-    "user_id > 10.5 AND user_id <= 100.5",
-)
 _events(
     "filter_and",
     _rule(
@@ -65,6 +67,13 @@ _events(
 _events("filter_no_conditions", _rule(), "true")
 _events("filter_time_order", _rule({"field": "ts", "op": "gte", "value": "2024-01-10T00:00:00"}), "ts >= TIMESTAMP '2024-01-10 00:00:00'")
 
+_lines("filter_in_typed", _rule({"field": "l_linenumber", "op": "in", "values": [1, "2", 3.0, 4.5, "x"]}), "l_linenumber IN (1, 2, 3)")
+_lines(
+    "filter_whole_number_bounds",
+    _rule({"field": "l_linenumber", "op": "gt", "value": 2.5}, {"field": "l_linenumber", "op": "lte", "value": "5.5"}),
+    "l_linenumber > 2.5 AND l_linenumber <= 5.5",
+)
+
 _parts("filter_contains", _rule({"field": "p_name", "op": "contains", "value": "ed w"}), "contains(p_name, 'ed w')")
 _parts("filter_starts_with", _rule({"field": "p_brand", "op": "starts_with", "value": "Brand#1"}), "starts_with(p_brand, 'Brand#1')")
 _parts("filter_ends_with", _rule({"field": "p_brand", "op": "ends_with", "value": "3"}), "ends_with(p_brand, '3')")

@@ -4,16 +4,14 @@ On a stream the window state is Spark's own. On a batch the plan is chosen so th
 hot, brings more than one pre-aggregated row per key and time pane to a task:
 
 * tumbling: one ``groupBy``, combined map-side;
-* sliding: aggregate once into panes (the common divisor of size and slide), then spread the few pane
-  rows over the windows that cover them, not every input row;
+* sliding: aggregate once into panes, the stretches no window starts or ends in (at most two per
+  slide), then spread the few pane rows over the windows that cover them, not every input row;
 * session: aggregate into panes as long as the gap. Rows of one pane are always in one session, so
   sessions are found among pane rows, at most time span / gap of them per key.
 """
 
 from __future__ import annotations
 
-from math import gcd
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -159,8 +157,10 @@ def _sliding(df: DataFrame, rule: AggregateRule) -> DataFrame:
     window = F.window(_TIME, _seconds(size), _seconds(slide))
     if df.isStreaming or _distincts(rule):
         return _direct(df, rule, window)
-    step = gcd(size, slide)
-    panes = _panes(df, rule, F.window(_TIME, _seconds(step))).withColumn(_TIME, ref("_pane")["start"])
+    start = F.window(_TIME, _seconds(slide))["start"]
+    cut = start + F.expr(f"INTERVAL {size % slide} SECONDS")
+    pane = F.when(ref(_TIME) < cut, start).otherwise(cut) if size % slide else start
+    panes = _panes(df.withColumn("_pane", pane), rule, ref("_pane")).withColumn(_TIME, ref("_pane"))
     return panes.groupBy(window.alias(WINDOW_COLUMN), *_keys(rule)).agg(*_merge_columns(rule))
 
 

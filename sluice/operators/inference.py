@@ -235,19 +235,22 @@ def infer(
             yield columns_of(stop - start, lambda start=start, stop=stop: score(_part(inputs, start, stop)))
 
     def overlapped(inputs: pd.DataFrame, cuts: list, score: Scorer) -> Iterator[dict | None]:
-        """Up to ``in_flight`` calls at a time, each given ``async_timeout_ms`` once it is waited for."""
+        """Up to ``in_flight`` calls at a time, each ``async_timeout_ms`` long at most."""
         pool = ThreadPoolExecutor(max_workers=min(in_flight, len(cuts)))
-        seconds = spec.async_timeout_ms / 1000
         waiting: deque = deque()
+
+        def settle() -> dict | None:
+            rows, call, deadline = waiting.popleft()
+            return columns_of(rows, lambda: call.result(timeout=max(deadline - time.monotonic(), 0)))
+
         try:
             for start, stop in cuts:
-                waiting.append((stop - start, pool.submit(score, _part(inputs, start, stop))))
+                deadline = time.monotonic() + spec.async_timeout_ms / 1000
+                waiting.append((stop - start, pool.submit(score, _part(inputs, start, stop)), deadline))
                 if len(waiting) >= in_flight:
-                    rows, call = waiting.popleft()
-                    yield columns_of(rows, lambda call=call: call.result(timeout=seconds))
+                    yield settle()
             while waiting:
-                rows, call = waiting.popleft()
-                yield columns_of(rows, lambda call=call: call.result(timeout=seconds))
+                yield settle()
         finally:
             pool.shutdown(wait=False, cancel_futures=True)
 

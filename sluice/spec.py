@@ -62,6 +62,13 @@ def _require(doc: dict, where: str, *names: str) -> None:
             raise ConfigError(f"{where}: {name!r} is required")
 
 
+def _list(doc: dict, name: str, where: str) -> tuple:
+    value = doc.get(name)
+    if value is not None and not isinstance(value, (list, tuple)):
+        raise ConfigError(f"{where}: {name!r} must be a list")
+    return tuple(value or ())
+
+
 def _names(cls) -> set[str]:
     return {f.name for f in fields(cls)}
 
@@ -119,11 +126,12 @@ class TableSchema:
         d = read_keys(doc, "schema_config", _names(cls))
         _require(d, "schema_config", "table", "fields")
         cols = []
-        for i, item in enumerate(d["fields"]):
+        for i, item in enumerate(_list(d, "fields", "schema_config")):
             fd = read_keys(item, f"schema_config.fields[{i}]", _names(Field))
             _require(fd, f"schema_config.fields[{i}]", "name", "type")
             cols.append(_build(Field, fd))
-        return cls(d["table"], tuple(cols), tuple(d.get("primary_keys") or ()), tuple(d.get("partition_keys") or ()))
+        keys = (_list(d, name, "schema_config") for name in ("primary_keys", "partition_keys"))
+        return cls(d["table"], tuple(cols), *keys)
 
 
 # --- rules ------------------------------------------------------------------------------------
@@ -140,8 +148,8 @@ class Condition:
     def from_json(cls, doc: Any, where: str = "condition") -> Condition:
         d = read_keys(doc, where, _names(cls), {"operator": "op"})
         _require(d, where, "field", "op")
-        values = d.get("values")
-        return cls(d["field"], d["op"], d.get("value"), None if values is None else tuple(values))
+        values = None if d.get("values") is None else _list(d, "values", where)
+        return cls(d["field"], d["op"], d.get("value"), values)
 
 
 @dataclass(frozen=True)
@@ -152,7 +160,7 @@ class FilterRule:
     @classmethod
     def from_json(cls, doc: Any) -> FilterRule:
         d = read_keys(doc, "filter rule", _names(cls))
-        conds = d.get("conditions") or ()
+        conds = _list(d, "conditions", "filter rule")
         return cls(
             d.get("logic") or "AND",
             tuple(Condition.from_json(c, f"filter rule conditions[{i}]") for i, c in enumerate(conds)),
@@ -181,8 +189,7 @@ class FieldMapping:
     def from_json(cls, doc: Any, where: str = "mapping") -> FieldMapping:
         d = read_keys(doc, where, _names(cls), {"operator": "op"})
         _require(d, where, "output", "op")
-        if d.get("inputs") is not None:
-            d["inputs"] = tuple(d["inputs"])
+        d["inputs"] = _list(d, "inputs", where)
         if d.get("condition") is not None:
             d["condition"] = Condition.from_json(d["condition"], f"{where}.condition")
         return _build(cls, d)
@@ -195,7 +202,7 @@ class TransformRule:
     @classmethod
     def from_json(cls, doc: Any) -> TransformRule:
         d = read_keys(doc, "transform rule", _names(cls))
-        items = d.get("mappings") or ()
+        items = _list(d, "mappings", "transform rule")
         return cls(tuple(FieldMapping.from_json(m, f"transform rule mappings[{i}]") for i, m in enumerate(items)))
 
 
@@ -252,12 +259,12 @@ class AggregateRule:
         if d.get("window") is not None:
             d["window"] = _build(WindowSpec, read_keys(d["window"], "aggregate rule window", _names(WindowSpec)))
         aggs = []
-        for i, item in enumerate(d.get("aggregations") or ()):
+        for i, item in enumerate(_list(d, "aggregations", "aggregate rule")):
             ad = read_keys(item, f"aggregate rule aggregations[{i}]", _names(Aggregation))
             _require(ad, f"aggregate rule aggregations[{i}]", "output", "op")
             aggs.append(_build(Aggregation, ad))
         d["aggregations"] = tuple(aggs)
-        d["key_fields"] = tuple(d.get("key_fields") or ())
+        d["key_fields"] = _list(d, "key_fields", "aggregate rule")
         return _build(cls, d)
 
 

@@ -14,7 +14,7 @@ from helpers import (
 )
 from pyspark.sql import functions as F
 
-from sluice import Chain, ConfigError, TableSchema, ensure_table, read_files, run_batch, run_job, run_reloading, run_stream, start_quarantine
+from sluice import Chain, ConfigError, TableSchema, decode_json, dedup, ensure_table, lookup_enrich, read_files, run_batch, run_job, run_reloading, run_stream, start_quarantine
 from sluice.plans.job import batch_result, table_of
 from sluice.sources.messages import kafka_options
 from sluice.spec import JobSpec, KafkaSpec, LakeSpec, StepSpec
@@ -259,3 +259,45 @@ def test_rules_are_read_again_for_each_batch(spark, tmp_path):
     state["least"] = 10
     run("b.txt", (2, 5, "10:00:00"), (3, 15, "10:00:00"))
     assert [r[0] for r in table_rows(spark, load(spark).load("fraud"))] == [1, 3]
+
+
+def test_second_aggregation_on_a_stream(spark, tmp_path):
+    schema = TableSchema.from_json(
+        {
+            "table": "sums",
+            "fields": [
+                {"name": "user_id", "type": "LONG"},
+                {"name": "amount", "type": "DOUBLE"},
+                {"name": "event_time", "type": "TIMESTAMP"},
+                {"name": "total", "type": "DOUBLE"},
+                {"name": "n", "type": "LONG"},
+                {"name": "window_start", "type": "TIMESTAMP"},
+            ],
+        }
+    )
+    minute = {"key_fields": ["user_id"], "time_field": "event_time", "window": {"sizeSeconds": 60}, "aggregations": [{"output": "total", "op": "sum", "input": "amount"}]}
+    hour = {"window": {"sizeSeconds": 3600}, "emit_window": True, "aggregations": [{"output": "total", "op": "max", "input": "total"}, {"output": "n", "op": "count"}]}
+    job = JobSpec("twice", schema, lake=LakeSpec(str(tmp_path / "wh")), steps=(StepSpec("aggregate", minute), StepSpec("aggregate", hour)))
+    put(tmp_path / "in", "a.txt", *messages((1, 5, "10:00:10"), (1, 6, "10:00:20"), (2, 1, "10:00:30"), (1, 2, "10:30:00")))
+    for name, at in (("b.txt", "12:00:00"), ("c.txt", "14:00:00")):
+        put(tmp_path / "in", name, *messages((9, 1, at)))
+        stream = read_files(spark, str(tmp_path / "in"), streaming=True, ordered=False, maxFilesPerTrigger="1")
+        run_stream(spark, job, str(tmp_path / "ck"), source=stream, trigger=ONCE).awaitTermination()
+    df = spark.read.parquet(str(tmp_path / "wh/default.db/sums"))
+    first = df.orderBy("window_start").first()
+    assert (first.total, first.n, first.window_start) == (11.0, 3, AT)
+    batch = Chain.from_job(job).apply(decode_json(read_files(spark, str(tmp_path / "in")), schema))
+    assert batch.columns == ["total", "n", "window_start", "window_end"]
+    assert (first.total, first.n) in [(r.total, r.n) for r in batch.collect()]
+
+
+def test_lookup_and_dedup_on_a_stream(spark, tmp_path):
+    schema = TableSchema.from_json({"table": "t", "fields": [{"name": "user_id", "type": "LONG"}, {"name": "amount", "type": "DOUBLE"}, {"name": "event_time", "type": "TIMESTAMP"}]})
+    put(tmp_path / "in", "a.txt", *messages((1, 5, "10:00:10"), (1, 5, "10:00:12"), (2, 1, "10:00:30")))
+    stream = decode_json(read_files(spark, str(tmp_path / "in"), streaming=True, ordered=False), schema)
+    names = spark.createDataFrame([(1, "one")], "user_id bigint, name string")
+    out = lookup_enrich(dedup(stream, ["user_id"], "event_time", "1 minute"), names, ["user_id"], ["name"])
+    assert dict(out.dtypes)["event_time"] == "timestamp_ntz"
+    query = out.select("user_id", "name").writeStream.format("memory").queryName("looked_up").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert sorted(map(tuple, spark.table("looked_up").collect())) == [(1, "one"), (2, None)]

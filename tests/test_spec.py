@@ -33,6 +33,8 @@ def test_aggregate_defaults_and_keys():
         lambda: FilterRule.from_json('{"conditons":[]}'),
         lambda: FilterRule.from_json('{"conditions":[{"field":"a","op":"gt","val":1}]}'),
         lambda: FilterRule.from_json('{"conditions":[{"op":"gt"}]}'),
+        lambda: FilterRule.from_json({"conditions": [{"field": "a", "op": "in", "values": "abc"}]}),
+        lambda: AggregateRule.from_json({"keyFields": "user_id"}),
         lambda: FilterRule.from_json("[1]"),
         lambda: FilterRule.from_json("{"),
         lambda: AggregateRule.from_json({"aggregations": [{"output": "x", "op": "sum"}, {"output": "x", "op": "count"}]}),
