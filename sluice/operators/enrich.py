@@ -40,15 +40,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     the shuffle as one row per task. Equal order values are settled by the rest of the row, which
     makes the result repeatable.
     """
-    order = [o if isinstance(o, Column) else ref(o) for o in order_by]
-    rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(
-        *(o.alias(f"o{i}") for i, o in enumerate(order)), F.struct(*(ref(c) for c in rest)).alias("row")
-    )
-    if not rest and not order:
+    if not set(df.columns) - set(keys):
         return df.dropDuplicates(list(keys))
-    best = df.groupBy(*(ref(k) for k in keys)).agg(F.max(packed).alias("_best"))
-    return best.select(*(ref(c) if c in keys else ref("_best")["row"][c].alias(c) for c in df.columns))
+    order = {f"o{i}": o for i, o in enumerate(order_by)}
+    # a column that decides the order is packed once, as part of it
+    packed_as = {o: name for name, o in order.items() if isinstance(o, str) and o not in keys}
+    rest = [c for c in df.columns if c not in keys and c not in packed_as]
+    first = [(ref(o) if isinstance(o, str) else o).alias(name) for name, o in order.items()]
+    best = df.groupBy(*(ref(k) for k in keys)).agg(F.max(F.struct(*first, *(ref(c).alias(f"c{i}") for i, c in enumerate(rest)))).alias("_best"))
+    packed_as.update({c: f"c{i}" for i, c in enumerate(rest)})
+    return best.select(*(ref(c) if c in keys else ref("_best")[packed_as[c]].alias(c) for c in df.columns))
 
 
 def dedup(df: DataFrame, keys: Sequence[str], time_field: str | None = None, delay: str = "0 seconds") -> DataFrame:

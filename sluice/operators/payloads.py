@@ -108,7 +108,7 @@ def build_requests(
     # several buckets per shuffle partition, so that their hash spreads evenly
     count = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = (_with_copy_positions if copies else _with_positions)(df, key, count)
-    batch_no = F.floor(F.col("_at") / spec.batch_size).alias("batch_no")
+    batch_no = F.expr(f"_at div {spec.batch_size}").alias("batch_no")
     grouped = numbered.groupBy(F.col("_bucket").alias("bucket"), batch_no).agg(
         F.sort_array(F.collect_list(F.struct("_at", "row"))).alias("_rows")
     )

@@ -5,8 +5,10 @@ the batch touches. It works in three steps so that a lost executor or driver nev
 
 1. the batch is evaluated once and written to the shared folder, one row per key;
 2. the touched folders are merged with it into a staging folder beside the table;
-3. each merged folder is moved to the place of the live one, which writes nothing again. A run that
-   died here goes on with the folders still in staging.
+3. each merged folder is moved to the place of the live one, which writes nothing again. If a run
+   died here, the next upsert (or ``recover``) first moves the folders still in staging.
+
+One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -60,6 +62,10 @@ class KeyedTable:
     def changelog_path(self) -> str:
         return self.path.rstrip("/") + "__changelog"
 
+    @property
+    def _staging(self) -> str:
+        return self.path.rstrip("/") + "__staged"
+
     def _bucketed(self, df: DataFrame) -> DataFrame:
         bucket = F.pmod(F.xxhash64(*(ref(k) for k in self.schema.primary_keys)), F.lit(self.buckets))
         return df.withColumn(BUCKET_COLUMN, bucket.cast("int"))
@@ -121,18 +127,27 @@ class KeyedTable:
         of one key in the batch. A row with an empty required field fails the batch, is dropped
         (``on_null="drop"``) or set aside under ``<path>__rejected`` (``"quarantine"``).
         """
+        self.recover()
         shared = f"{shared_dir(self.spark)}/sluice-stage/{self.schema.table}/{run_id}/{batch_id}"
-        staged = f"{self.path.rstrip('/')}__staged/{run_id}/{batch_id}"
-        if not path_exists(self.spark, f"{staged}/_SUCCESS"):
-            incoming = self._stage_incoming(rows, shared, batch_id, run_id, order_by, on_null)
-            stored, any_rows = self._touched_folders(incoming)
-            if any_rows:
-                self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys), staged)
-        if path_exists(self.spark, staged):
+        staged = f"{self._staging}/{run_id}/{batch_id}"
+        incoming = self._stage_incoming(rows, shared, batch_id, run_id, order_by, on_null)
+        stored, any_rows = self._touched_folders(incoming)
+        if any_rows:
+            self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys), staged)
             self._publish(staged)
             remove_path(self.spark, staged)
         remove_path(self.spark, shared)
 
+    def recover(self) -> None:
+        """Finish what an interrupted upsert had merged but not yet moved; every upsert starts so."""
+        if not path_exists(self.spark, self._staging):
+            return
+        for batch in subfolders(self.spark, self._staging, 2):
+            staged = f"{self._staging}/{batch}"
+            if path_exists(self.spark, f"{staged}/_SUCCESS"):
+                self._publish(staged)
+            remove_path(self.spark, staged)
+
     def _stage_incoming(self, rows, stage, batch_id, run_id, order_by, on_null) -> DataFrame:
         names = [o for o in order_by if isinstance(o, str)]
         extra = tuple(n for n in names if n not in self.schema.names)

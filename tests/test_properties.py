@@ -83,7 +83,7 @@ texts = st.fixed_dictionaries(
 )
 nulls = st.fixed_dictionaries({"field": st.sampled_from("tnw"), "op": st.sampled_from(["is_null", "not_null"])})
 conditions = st.lists(st.one_of(compared, members, texts, nulls), max_size=3)
-quick = settings(max_examples=60, deadline=None, suppress_health_check=list(HealthCheck))
+quick = settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 @quick

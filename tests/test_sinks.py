@@ -66,10 +66,23 @@ def test_a_run_that_died_while_publishing_goes_on_from_staging(spark, tmp_path,
     with pytest.raises(RuntimeError):
         target.upsert(update, 7, "run")
     monkeypatch.undo()
-    target.upsert(update, 7, "run")
+    assert state(target) == []
+    target.recover()
     assert state(target) == [("2024-01-01", 1, 5.0), ("2024-01-01", 2, 2.0)]
 
 
+def test_an_upsert_first_finishes_an_interrupted_one(spark, tmp_path, monkeypatch):
+    target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, buckets=1)
+    monkeypatch.setattr(KeyedTable, "_publish", lambda self, staged: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        target.upsert(rows(spark, ("2024-01-01", 1, 1.0, 1), ("2024-01-02", 2, 2.0, 1)), 0, "first")
+    monkeypatch.undo()
+    # half-written staging, as a lost driver leaves it
+    (tmp_path / "t__staged" / "other" / "1" / "day=2024-01-01").mkdir(parents=True)
+    target.upsert(rows(spark, ("2024-01-02", 2, 7.0, 1)), 0, "second")
+    assert state(target) == [("2024-01-01", 1, 1.0), ("2024-01-02", 2, 7.0)]
+
+
 def test_empty_batches_and_an_empty_table(spark, tmp_path):
     target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA)
     assert target.read().count() == 0
