@@ -226,24 +226,33 @@ _STATE = TableSchema.from_json(
 )
 
 
-def _two_upserts(spark, sf, what: str, changelog: bool = False) -> KeyedTable:
+def _two_upserts(spark, sf, what: str, **options) -> KeyedTable:
     """All events in two batches: the later half of the ids replaces what the first half wrote."""
     events = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
-    target = KeyedTable(spark, new_folder(spark, what), _STATE, buckets=4, changelog=changelog)
+    target = KeyedTable(spark, new_folder(spark, what), _STATE, buckets=4, **options)
     late = F.col("event_id") % 2 == 1
     target.upsert(events.filter(~late), 0, order_by=["event_id"])
     target.upsert(events.filter(late), 1, order_by=["event_id"])
     return target
 
 
-@check(
+_UPSERTED = (
     "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type "
     "ORDER BY event_id % 2 DESC, event_id DESC) AS rn FROM events) e WHERE rn = 1"
 )
+
+
+@check(_UPSERTED)
 def sink_upsert(spark, sf):
     return _two_upserts(spark, sf, "sink_upsert").read()
 
 
+@check(_UPSERTED)
+def sink_upsert_deltas(spark, sf):
+    """The same table with its batches kept as deltas and merged by the reader."""
+    return _two_upserts(spark, sf, "sink_upsert_deltas", compact_every=10).read()
+
+
 @check("SELECT CAST(event_id % 2 AS VARCHAR) AS batch, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1")
 def sink_changelog(spark, sf):
     target = _two_upserts(spark, sf, "sink_changelog", changelog=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from sluice.spec import ConfigError, JobSpec
 BUCKET_PROPERTY = "bucket"
 CHANGELOG_PROPERTY = "changelog-producer"
 SEQUENCE_PROPERTY = "sequence.field"
+COMPACTION_PROPERTY = "full-compaction.delta-commits"
 _DEFAULT_BUCKETS = 8
 
 
@@ -61,6 +63,7 @@ def table_of(spark: SparkSession, job: JobSpec, name: str | None = None) -> Keye
         buckets if buckets > 0 else _DEFAULT_BUCKETS,
         changelog=props.get(CHANGELOG_PROPERTY) == "input",
         name=name,
+        compact_every=int(props.get(COMPACTION_PROPERTY, 1)),
     )
 
 
@@ -118,10 +121,14 @@ def run_batch(
     on_bad_record: str = "fail",
     on_null: str = "fail",
     batch_id: int | str = 0,
-    run_id: str = "batch",
+    run_id: str | None = None,
 ) -> DataFrame:
-    """Replay a batch of messages into the job's table and return the table's rows."""
+    """Replay a batch of messages into the job's table and return the table's rows.
+
+    Give ``run_id`` and ``batch_id`` to repeat a replay that failed; by default each call is its own run.
+    """
     apply_conf(spark)
+    run_id = run_id or uuid.uuid4().hex
     rows = rows_of(job, messages, scorers, on_bad_record, keep_hidden=True)
     if job.schema.primary_keys:
         table = table_of(spark, job)

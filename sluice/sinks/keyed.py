@@ -8,6 +8,10 @@ the batch touches. It works in three steps so that a lost executor or driver nev
 3. each merged folder is moved to the place of the live one, which writes nothing again. If a run
    died here, the next upsert (or ``recover``) first moves the folders still in staging.
 
+With ``compact_every`` above 1 a batch is only appended as a delta (its cost is the batch's size, not that
+of the folders it touches); ``read`` puts the deltas over the folders, and every so many batches they
+are folded in by the steps above. This is the mode for frequent small batches on a big table.
+
 One writer at a time is assumed.
 """
 
@@ -27,6 +31,7 @@ from sluice.session import path_exists, remove_path, replace_folder, shared_dir,
 from sluice.spec import ConfigError, TableSchema
 
 BUCKET_COLUMN = "_bucket"
+_DELTA_COLUMN = "_delta"
 # Touched folders are listed for partition pruning up to this many; beyond it the semi join alone
 # picks the rows.
 _LISTED_FOLDERS = 10_000
@@ -49,6 +54,7 @@ class KeyedTable:
     buckets: int = 8
     changelog: bool = False
     name: str | None = None  # set when the table is registered in the session catalog
+    compact_every: int = 1
 
     def __post_init__(self):
         if not self.schema.primary_keys:
@@ -70,16 +76,69 @@ class KeyedTable:
         bucket = F.pmod(F.xxhash64(*(ref(k) for k in self.schema.primary_keys)), F.lit(self.buckets))
         return df.withColumn(BUCKET_COLUMN, bucket.cast("int"))
 
-    def _read_folder(self, path: str) -> DataFrame:
+    @property
+    def _stored(self) -> T.StructType:
         fields = [T.StructField(f.name, f.dataType, True) for f in struct_type(self.schema).fields]
-        stored = T.StructType([*fields, T.StructField(BUCKET_COLUMN, T.IntegerType())])
+        return T.StructType([*fields, T.StructField(BUCKET_COLUMN, T.IntegerType())])
+
+    def _read_folder(self, path: str) -> DataFrame:
         if not path_exists(self.spark, path):
-            return self.spark.createDataFrame([], stored)
-        return self.spark.read.schema(stored).parquet(path)
+            return self.spark.createDataFrame([], self._stored)
+        return self.spark.read.schema(self._stored).parquet(path)
 
     def read(self) -> DataFrame:
         """The current rows, one per key."""
-        return self._read_folder(self.path).select(*(ref(n) for n in self.schema.names))
+        rows = self._read_folder(self.path)
+        if self._deltas():
+            rows = merge_rows(rows, self._read_deltas(), self.schema.primary_keys)
+        return rows.select(*(ref(n) for n in self.schema.names))
+
+    # --- deltas -------------------------------------------------------------------------------
+
+    @property
+    def _delta_path(self) -> str:
+        return self.path.rstrip("/") + "__delta"
+
+    def _deltas(self) -> list[str]:
+        """Delta folders, oldest first."""
+        if not path_exists(self.spark, self._delta_path):
+            return []
+        return sorted(n for n in subfolders(self.spark, self._delta_path, 1) if n.startswith(f"{_DELTA_COLUMN}="))
+
+    def _read_deltas(self) -> DataFrame:
+        """The newest row per key of all deltas."""
+        tagged = T.StructType([*self._stored.fields, T.StructField(_DELTA_COLUMN, T.StringType())])
+        rows = self.spark.read.schema(tagged).parquet(self._delta_path)
+        return latest_per_key(rows, self.schema.primary_keys, [_DELTA_COLUMN]).drop(_DELTA_COLUMN)
+
+    def _add_delta(self, written: str, batch_id, run_id) -> None:
+        """Move a written batch in as the newest delta, or to the place of its earlier attempt."""
+        names, tag = self._deltas(), f"{run_id}-{batch_id}"
+        name = next((n for n in names if n.split("-", 1)[1] == tag), None)
+        if name is None:
+            number = 1 + int(names[-1].split("=")[1].split("-")[0]) if names else 0
+            name = f"{_DELTA_COLUMN}={number:012d}-{tag}"
+        replace_folder(self.spark, written, f"{self._delta_path}/{name}")
+        self.spark.catalog.refreshByPath(self._delta_path)
+
+    def compact(self) -> None:
+        """Fold all deltas into the table's folders."""
+        names = self._deltas()
+        if not names:
+            return
+        self._fold(self._read_deltas(), f"{self._staging}/compact/{names[-1].split('=')[1]}")
+        for name in names:  # oldest first, so that what is left after a failure is still the newest
+            remove_path(self.spark, f"{self._delta_path}/{name}")
+
+    def _fold(self, incoming: DataFrame, staged: str) -> None:
+        """Put rows, one per key, into the folders they belong to."""
+        stored, any_rows = self._touched_folders(incoming)
+        if any_rows:
+            self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys), staged)
+            self._publish(staged)
+            remove_path(self.spark, staged)
+
+    # --- folders ------------------------------------------------------------------------------
 
     def _touched_folders(self, incoming: DataFrame) -> tuple[DataFrame, bool]:
         """The stored rows of every folder the batch has rows for, and whether it has any rows."""
@@ -128,14 +187,17 @@ class KeyedTable:
         (``on_null="drop"``) or set aside under ``<path>__rejected`` (``"quarantine"``).
         """
         self.recover()
+        if self.compact_every <= 1:
+            self.compact()  # deltas from an earlier setting would hide what is written now
         shared = f"{shared_dir(self.spark)}/sluice-stage/{self.schema.table}/{run_id}/{batch_id}"
-        staged = f"{self._staging}/{run_id}/{batch_id}"
-        incoming = self._stage_incoming(rows, shared, batch_id, run_id, order_by, on_null)
-        stored, any_rows = self._touched_folders(incoming)
-        if any_rows:
-            self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys), staged)
-            self._publish(staged)
-            remove_path(self.spark, staged)
+        written = f"{self._delta_path}/_writing" if self.compact_every > 1 else f"{shared}/incoming"
+        self._write_incoming(rows, written, shared, batch_id, run_id, order_by, on_null)
+        if self.compact_every > 1:
+            self._add_delta(written, batch_id, run_id)
+            if len(self._deltas()) >= self.compact_every:
+                self.compact()
+        else:
+            self._fold(self._read_folder(written), f"{self._staging}/{run_id}/{batch_id}")
         remove_path(self.spark, shared)
 
     def recover(self) -> None:
@@ -148,7 +210,8 @@ class KeyedTable:
                 self._publish(staged)
             remove_path(self.spark, staged)
 
-    def _stage_incoming(self, rows, stage, batch_id, run_id, order_by, on_null) -> DataFrame:
+    def _write_incoming(self, rows, target, stage, batch_id, run_id, order_by, on_null) -> None:
+        """Evaluate the batch once: checked, one row per key, with its bucket."""
         names = [o for o in order_by if isinstance(o, str)]
         extra = tuple(n for n in names if n not in self.schema.names)
         if on_null == "quarantine":
@@ -157,9 +220,7 @@ class KeyedTable:
         if self.changelog:
             accepted = self._log(accepted, batch_id, run_id)
         latest = latest_per_key(accepted, self.schema.primary_keys, order_by)
-        incoming = f"{stage}/incoming"
-        self._bucketed(latest.select(*(ref(n) for n in self.schema.names))).write.mode("overwrite").parquet(incoming)
-        return self._read_folder(incoming)
+        self._bucketed(latest.select(*(ref(n) for n in self.schema.names))).write.mode("overwrite").parquet(target)
 
     def _set_aside(self, rows: DataFrame, stage: str, batch_id, run_id) -> DataFrame:
         # evaluated once into staging, then split

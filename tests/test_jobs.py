@@ -99,6 +99,15 @@ def test_sample_job_in_batch(spark, config, tmp_path):
     ]
 
 
+def test_replays_are_their_own_runs(spark, tmp_path):
+    tables = [job_row(warehouse=tmp_path, **{"changelog-producer": "input", "full-compaction.delta-commits": "5"})]
+    job = config_tables(spark, tables, step_rows(steps=SAMPLE_STEPS[:2]), [function_row()]).load("fraud")
+    for message in SAMPLE_MESSAGES[:2] + SAMPLE_MESSAGES[4:]:
+        out = run_batch(spark, job, spark.createDataFrame([(message,)], "value string"))
+    assert sorted((r.user_id, r.amount) for r in out.collect()) == [(1, 100.0), (4, 50.0)]
+    assert spark.read.parquet(table_of(spark, job).changelog_path).count() == 3
+
+
 def test_required_fields_and_bad_records(spark, config):
     job = config.load("fraud")
     scorers = {"fraud-detect-v1": fraud_scorer()}

@@ -83,6 +83,34 @@ def test_an_upsert_first_finishes_an_interrupted_one(spark, tmp_path, monkeypatc
     assert state(target) == [("2024-01-01", 1, 1.0), ("2024-01-02", 2, 7.0)]
 
 
+def test_deltas_are_read_over_the_folders_and_folded_in(spark, tmp_path, monkeypatch):
+    target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, buckets=2, compact_every=3)
+    expected, folders = {}, []
+    for batch in range(7):
+        update = [("2024-01-01", 0, float(batch), 1), ("2024-01-02", batch, float(batch), 1)]
+        for _ in range(2 if batch == 4 else 1):  # batch 4 is delivered twice
+            target.upsert(rows(spark, *update), batch, "run", order_by=["seq"])
+        expected.update({(d, i): v for d, i, v, _ in update})
+        assert state(target) == sorted((d, i, v) for (d, i), v in expected.items())
+        folders.append(len(target._deltas()))
+    assert folders == [1, 2, 0, 1, 2, 0, 1]
+    monkeypatch.setattr(keyed, "remove_path", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        target.compact()  # folded in, but the deltas are still there
+    monkeypatch.undo()
+    assert len(target._deltas()) == 1
+    target.recover()
+    target.compact()
+    assert target._deltas() == [] and state(target) == sorted((d, i, v) for (d, i), v in expected.items())
+
+
+def test_deltas_of_an_earlier_setting_are_folded_before_new_rows(spark, tmp_path):
+    KeyedTable(spark, str(tmp_path / "t"), SCHEMA, compact_every=9).upsert(rows(spark, ("2024-01-01", 1, 1.0, 1)), 0)
+    target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA)
+    target.upsert(rows(spark, ("2024-01-01", 1, 2.0, 1)), 1)
+    assert state(target) == [("2024-01-01", 1, 2.0)] and target._deltas() == []
+
+
 def test_empty_batches_and_an_empty_table(spark, tmp_path):
     target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA)
     assert target.read().count() == 0
