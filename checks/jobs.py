@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from checks.base import check, new_folder, rounded, table
@@ -34,11 +35,9 @@ _STEPS = (
 
 
 def _fraud_scorer(spec):
-    def score(batch):
-        out = batch[["amount"]] / 1000
-        out.columns = ["fraud_score"]
-        out["is_fraud"] = out["fraud_score"] > 0.1
-        return out
+    def score(batch: pd.DataFrame) -> pd.DataFrame:
+        value = batch["amount"] / 1000
+        return pd.DataFrame({"fraud_score": value, "is_fraud": value > 0.1})
 
     return score
 
