@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import mixing, sharding, token_counts, warc
+from sluice.llm import minhash, mixing, quality, sharding, token_counts, warc
 from sluice.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +98,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         token_counts.total_tokens(F.col("tokens")).alias("n_tokens"),
         token_counts.over_budget(F.col("tokens"), TOKEN_LIMIT).alias("over_limit"),
     )
+
+
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the learned list's verdict."""
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates on word pairs, as the contract has it."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.MinHash(words=2))
