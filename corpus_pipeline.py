@@ -15,6 +15,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again before the next."""
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    for _, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), "stage")
     return docs

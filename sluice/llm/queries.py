@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import minhash, mixing, quality, sharding, token_counts, warc
+from sluice.llm import decontaminate, minhash, mixing, quality, sharding, token_counts, warc
 from sluice.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +110,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates on word pairs, as the contract has it."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.MinHash(words=2))
+
+
+@query()
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark questions, as they are or with other values."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
