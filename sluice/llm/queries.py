@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, minhash, mixing, quality, sharding, token_counts, warc
+from sluice.llm import decontaminate, minhash, mixing, quality, secret_scan, sharding, token_counts, warc
 from sluice.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,9 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark questions, as they are or with other values."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: base spans, and those the Markov models add."""
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
