@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, minhash, mixing, quality, secret_scan, sharding, token_counts, warc
+from sluice.llm import decontaminate, line_dedup, minhash, mixing, quality, secret_scan, sharding, token_counts, warc
 from sluice.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -122,3 +122,9 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text: base spans, and those the Markov models add."""
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that repeat, nearly or exactly, an earlier one."""
+    return line_dedup.counted(line_dedup.duplicate_lines(table(spark, sf_dir, "documents")))
