@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, line_dedup, minhash, mixing, quality, secret_scan, sharding, token_counts, warc
+from sluice.llm import decontaminate, line_dedup, minhash, mixing, quality, secret_scan, sharding, suffix_dedup, token_counts, warc
 from sluice.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,3 +128,10 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of each document that repeat, nearly or exactly, an earlier one."""
     return line_dedup.counted(line_dedup.duplicate_lines(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of each document without 50-byte strings of smaller ones."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
