@@ -1,12 +1,13 @@
 """Near-duplicate documents by MinHash with odd sketches.
 
 A document is the set of its distinct word shingles. Documents of equal sets form a class first, and only one of
-a class goes on. MinHash samples give band keys, which name candidates, and are folded into an odd sketch: a bitmap
-in which each sample flips one bit. The bits in which two sketches differ estimate how many samples differ, and
-most accurately where few do; candidates clearly below the threshold are dropped by it, and the rest is confirmed on the
-full sets. In a bucket candidates are tied to a pivot and not to each other. Only documents that are not yet in one
-component are compared again, with further pivots from outside the bucket's main component, until none is left to
-compare: links are complete for all candidates, and no group is expanded into its pairs.
+a class goes on. Bands of MinHash samples name candidates. A second set of samples, the least shingle hash in each of 2048
+bins, is folded into an odd sketch: a bitmap in which each sample flips one bit. The bits in which two sketches differ
+tell how many samples differ, and most precisely where few do; candidates below the threshold by more than chance
+allows are dropped by it, and the rest is confirmed on the full sets. In a bucket candidates are tied to a pivot and not to
+each other. Only documents that are not yet in one component are compared again, with further pivots from outside the
+bucket's main component, until none is left to compare: links are complete for all candidates, and no group of copies is
+expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -29,25 +30,32 @@ from sluice.llm.components import components
 
 @dataclass(frozen=True)
 class MinHash:
-    """``words`` a shingle; linked from a similarity of ``percent`` on. At 0.8, 35 bands of 5 rows miss one pair in a million."""
+    """``words`` a shingle; linked from a similarity of ``percent`` on. At 0.8, 35 bands of 5 rows miss one pair in a million,
+    and sketches, which allow for 4.5 deviations of each kind of noise, fewer than that."""
 
     words: int = 5
     percent: int = 80
     bands: int = 35
     rows: int = 5
-    bits: int = 512
+    bins: int = 2048
+    bits: int = 1024
 
     @property
     def samples(self) -> int:
         return self.bands * self.rows
 
-    @property
-    def most_bits(self) -> int:
-        """Differing bits that a pair at the threshold exceeds about once in a billion."""
-        k, p = self.samples, 1 - self.percent / 100
-        differ = k * p + 6 * math.sqrt(k * p * (1 - p))
-        expected = self.bits / 2 * (1 - (1 - 2 / self.bits) ** (2 * differ))
-        return math.ceil(expected + 4 * math.sqrt(self.bits / 4 * (1 - (1 - 4 / self.bits) ** (2 * differ))))
+    def most_bits(self, n_a: Column, n_b: Column) -> Column:
+        """Differing bits that sets of these sizes exceed by chance only if they are less similar than ``percent``."""
+        j, k, b = self.percent / 100, float(self.bins), float(self.bits)
+        union = (n_a + n_b) / (1 + j)
+        filled = k * (1 - F.exp(-union / k))
+        other = 1 - F.exp(-F.greatest(n_a, n_b) / k)  # that a bin with a differing least has more of the other set
+        sampling = filled * j * (1 - j) * (1 - filled / union) * (1 + other) * (1 + other)
+        noise = F.sqrt(F.greatest(F.lit(0.0), sampling) + filled * (1 - j) * other * (1 - other))
+        flips = filled * (1 - j) * (1 + other) + 4.5 * noise + 2
+        once, twice = F.pow(F.lit(1 - 2 / b), flips), F.pow(F.lit(1 - 4 / b), flips)
+        spread = b / 4 * (1 - once * once) + b * (b - 1) / 4 * (twice - once * once)
+        return b / 2 * (1 - once) + 4.5 * F.sqrt(F.greatest(F.lit(0.0), spread)) + 1
 
 
 def _shingle_sets(part: Slice, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,17 +97,20 @@ def _signed(part: Slice, how: MinHash):
         a = rng.integers(0, 1 << 31, how.samples, np.uint32) * np.uint32(2) + np.uint32(1)
         b = rng.integers(0, 1 << 32, how.samples, np.uint32)
         key = np.zeros(len(some), np.uint64)
-        flips = []
         for i in range(how.samples):
             least = np.minimum.reduceat(short * a[i] ^ b[i], at).astype(np.uint64)
             key = hashing.mix(key * np.uint64(0x2545F4914F6CDD1D) + least)
             if i % how.rows == how.rows - 1:
                 bands[some, i // how.rows] = key.view(np.int64)
                 key = np.full(len(some), i + 1, np.uint64)
-            bit = hashing.mix(least + (np.uint64(i) << np.uint64(33))) % np.uint64(how.bits)
-            flips.append(np.arange(len(some)) * how.bits + bit.astype(np.int64))
-        odd = (np.bincount(np.concatenate(flips), minlength=len(some) * how.bits) & 1).astype(np.uint8)
-        sketch[some] = np.packbits(odd.reshape(len(some), how.bits), axis=1).view(np.int64)
+        # Values are sorted within a row, so the least of a bin (its top bits) comes first.
+        row = np.repeat(np.arange(len(some)), sizes[some])
+        spot = row * how.bins + (values >> np.uint64(64 - (how.bins - 1).bit_length())).astype(np.int64)
+        least = np.ones(len(values), bool)
+        least[1:] = spot[1:] != spot[:-1]
+        bit = hashing.mix(values[least] ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(how.bits)
+        odd = np.bincount(row[least] * how.bits + bit.astype(np.int64), minlength=len(some) * how.bits) & 1
+        sketch[some] = np.packbits(odd.astype(np.uint8).reshape(len(some), how.bits), axis=1).view(np.int64)
     return sizes, digests.view(np.int64), bands, sketch
 
 
@@ -140,16 +151,39 @@ def sketch_distance(a: Column, b: Column, words: int) -> Column:
     return reduce(lambda x, y: x + y, (F.bit_count(F.get(a, F.lit(j)).bitwiseXOR(F.get(b, F.lit(j)))) for j in range(words)))
 
 
+_PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _confirm(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b, sorted full sets of both) that are similar enough."""
+    for batch in batches:
+        sides = []
+        for column in (batch.column(2), batch.column(3)):
+            sides.append((column.offsets.to_numpy(), column.values.to_numpy().view(np.uint64)))
+        (at_a, of_a), (at_b, of_b) = sides
+        held = np.zeros(batch.num_rows, bool)
+        for k in range(batch.num_rows):
+            x, y = of_a[at_a[k] : at_a[k + 1]], of_b[at_b[k] : at_b[k + 1]]
+            if len(x) > len(y):
+                x, y = y, x
+            common = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) else 0
+            held[k] = common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+        yield pa.record_batch([batch.column(0), batch.column(1)], schema=_PAIR).filter(pa.array(held))
+
+
 class _Search:
     """Links among the classes ``reps`` (id, n, bands, sketch) of ``read`` (doc_id, text)."""
 
     def __init__(self, read: DataFrame, reps: DataFrame, how: MinHash):
-        self.read, self.how = read, how
+        self.how = how
         self.sketches = reps.select("id", "n", "sketch")
         keys = reps.select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
         shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("pivot")).filter("m > 1")
         self.members = written(keys.join(shared.select("bucket", "pivot"), "bucket"), "buckets")
-        self.sets: DataFrame | None = None
+        # The full sets of all documents that share a bucket, in one second pass over the texts.
+        ids = self.members.select(F.col("id").alias("doc_id")).distinct()
+        texts = read.join(ids, "doc_id", "left_semi")
+        self.sets = written(texts.mapInArrow(lambda b: _sets(b, how), "id long, shingles array<long>"), "sets")
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
@@ -160,49 +194,41 @@ class _Search:
         found = self.labels.select(F.col("node").alias(name), F.col("component").alias("_c"))
         return rows.join(found, name, "left").withColumn(f"{name}_c", F.coalesce("_c", name)).drop("_c")
 
-    def _near(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that sizes and sketches leave possible."""
-        side = lambda x: self.sketches.select(
-            F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")
-        )
+    def _with_sketch(self, rows: DataFrame, name: str) -> DataFrame:
+        side = self.sketches.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
+        return rows.join(side, name)
+
+    @property
+    def _possible(self) -> Column:
+        """What sizes and sketches say of a pair with (n_a, s_a, n_b, s_b)."""
         least, most = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
         differ = sketch_distance(F.col("s_a"), F.col("s_b"), self.how.bits // 64)
-        both = pairs.join(side("a"), "a").join(side("b"), "b")
-        return both.filter((100 * least >= self.how.percent * most) & (differ <= self.how.most_bits)).select("a", "b").distinct()
-
-    def prepare(self, pairs: DataFrame) -> None:
-        """Make the full sets of the documents that any pair of these names."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        how = self.how
-        texts = self.read.join(ids, "doc_id", "left_semi")
-        made = texts.mapInArrow(lambda b: _sets(b, how), "id long, shingles array<long>")
-        have = written(made, "sets")
-        self.sets = have if self.sets is None else self.sets.unionByName(have)
-
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Add the links among ``pairs`` (a, b) that hold on the full sets; whether there are any."""
+        return (100 * least >= self.how.percent * most) & (differ <= self.how.most_bits(F.col("n_a"), F.col("n_b")))
+
+    def _distance(self) -> Column:
+        return sketch_distance(F.col("s_a"), F.col("s_b"), self.how.bits // 64)
+
+    def confirm(self, pairs: DataFrame) -> None:
+        """Add the links among ``pairs`` (a, b) that hold on the full sets."""
         side = lambda x: self.sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
-        common = F.size(F.array_intersect("set_a", "set_b"))
-        whole = F.size("set_a") + F.size("set_b") - common
-        held = pairs.join(side("a"), "a").join(side("b"), "b").filter(100 * common >= self.how.percent * whole)
-        links = written(held.select("a", "b"), "confirmed")
-        if links.isEmpty():
-            return False
-        self.links = links if self.links is None else self.links.unionByName(links)
-        self.labels = components(self.links)
-        return True
+        percent = self.how.percent
+        both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+        links = written(both.mapInArrow(lambda b: _confirm(b, percent), "a long, b long"), "confirmed")
+        if not links.isEmpty():
+            self.links = links if self.links is None else self.links.unionByName(links)
+            self.labels = components(self.links)
 
     def _across(self, pairs: DataFrame) -> DataFrame:
         return self._named(self._named(pairs, "a"), "b").filter("a_c <> b_c").select("a", "b")
 
     def run(self) -> DataFrame | None:
         """Components (node, component) of all links, or none."""
-        with_pivot = self.members.filter("id <> pivot").groupBy(F.col("id").alias("a"), F.col("pivot").alias("b"))
-        first = written(self._near(with_pivot.agg(F.count(F.lit(1)).alias("m"))), "pairs")
+        to_pivot = self.members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+        near = self._with_sketch(self._with_sketch(to_pivot, "a"), "b").filter(self._possible)
+        first = written(near.select("a", "b", self._distance().alias("bits")), "pairs")
         if not first.isEmpty():
-            self.prepare(first)
-            # A document's least pivot first; most other pairs lie in one component after that.
-            self.confirm(first.groupBy("a").agg(F.min("b").alias("b")))
+            # A document's most similar pivot first; most other pairs lie in one component after that.
+            self.confirm(first.groupBy("a").agg(F.min(F.struct("bits", "b")).getField("b").alias("b")))
             rest = written(self._across(first), "pairs")
             if not rest.isEmpty():
                 self.confirm(rest)
@@ -214,25 +240,29 @@ class _Search:
             open_ = named.groupBy("bucket").agg(
                 F.min("id_c").alias("low"), F.max("id_c").alias("high"), F.min(F.struct("id", "id_c"))["id_c"].alias("main")
             ).filter("low < high")
-            left = written(named.join(open_.select("bucket", "main"), "bucket"), "open-buckets")
-            others = left.filter("id_c <> main")
+            left = named.join(open_.select("bucket", "main"), "bucket").select("bucket", F.col("id").alias("b"), F.col("id_c").alias("b_c"), "main")
+            left = written(self._with_sketch(left, "b"), "open-buckets")
+            others = left.filter("b_c <> main")
             if others.isEmpty():
                 return self.labels
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-            pivots = written(others.withColumn("_r", rank).filter(F.col("_r") <= width).select("bucket", "id", "id_c"), "pivots")
-            pairs = (
-                pivots.select("bucket", F.col("id").alias("a"), F.col("id_c").alias("a_c"))
-                .join(left.select("bucket", F.col("id").alias("b"), F.col("id_c").alias("b_c")), "bucket")
-                .filter("a_c <> b_c")
-                .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                .distinct()
+            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("b"))
+            pivots = others.withColumn("_r", rank).filter(F.col("_r") <= width)
+            pivots = written(
+                pivots.select("bucket", F.col("b").alias("a"), F.col("b_c").alias("a_c"), F.col("n_b").alias("n_a"), F.col("s_b").alias("s_a")), "pivots"
+            )
+            # Compared where they meet: a pair that sketches rule out is never written.
+            met = pivots.alias("x").join(
+                left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & F.expr("a_c <> b_c") & self._possible
             )
-            near = written(self._near(pairs), "pairs")
+            near = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), self._distance().alias("bits"))
+            near = written(near.distinct(), "pairs")
             if not near.isEmpty():
-                self.prepare(near)
-                self.confirm(near)
-            done = written(done.unionByName(pivots.select("bucket", "id")), "compared")
-            width *= 2
+                self.confirm(near.groupBy("a").agg(F.min(F.struct("bits", "b")).getField("b").alias("b")))
+                rest = written(self._across(near), "pairs")
+                if not rest.isEmpty():
+                    self.confirm(rest)
+            done = written(done.unionByName(pivots.select("bucket", F.col("a").alias("id"))), "compared")
+            width *= 8
 
 
 def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
