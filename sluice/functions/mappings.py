@@ -120,6 +120,8 @@ def _type_cast(ctx: _Context) -> Column:
     col, target = ctx.input(), ctx.m.target_type.upper()
     if target == "BOOLEAN":
         return F.lower(col.cast("string")) == "true"
+    if target == "DECIMAL" and isinstance(ctx.out_type, T.DecimalType):
+        return col.cast(ctx.out_type)  # the output's own precision and scale
     return col.cast(named_type(target if target in FIELD_TYPES else "STRING"))
 
 

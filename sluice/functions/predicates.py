@@ -50,10 +50,13 @@ def _integral_order(col: Column, dtype: T.DataType, op: str, number: Decimal) ->
 def _string_order(col: Column, op: str, value: Any, number: Decimal) -> Column:
     """Text column, numeric literal: numbers compare as numbers, everything else as text."""
     compare = _ORDER[op]
-    numeric = compare(col.try_cast("double"), F.lit(float(number)))
+    double = col.try_cast("double")
+    numeric = compare(double, F.lit(float(number)))
     exact = L.decimal_literal(number)
     if exact is not None:
-        numeric = F.coalesce(compare(col.try_cast("decimal(38,18)"), exact), numeric)
+        # exact where the decimal holds the number; a tiny one would be rounded away
+        decimal = col.try_cast("decimal(38,18)")
+        numeric = F.when(decimal.cast("double") == double, compare(decimal, exact)).otherwise(numeric)
     return F.when(col.rlike(L.NUMBER_PATTERN), numeric).otherwise(compare(col, L.text(value)))
 
 

@@ -89,8 +89,10 @@ def _with_time(df: DataFrame, rule: AggregateRule) -> tuple[DataFrame, T.DataTyp
     else:
         raise ConfigError("aggregate: a batch run needs a time_field in the rule")
     if df.isStreaming:
+        if rule.time_field is not None and rule.watermark is None:
+            raise ConfigError("aggregate: on a stream a time_field needs a watermark, since later rows are dropped")
         # watermarks need the zoned type; the result goes back to the declared one
-        return df.withColumn(_TIME, time.cast("timestamp")).withWatermark(_TIME, rule.watermark), dtype
+        return df.withColumn(_TIME, time.cast("timestamp")).withWatermark(_TIME, rule.watermark or "0 seconds"), dtype
     return df.withColumn(_TIME, time.cast("timestamp_ntz") if isinstance(dtype, T.DateType) else time), dtype
 
 
@@ -155,13 +157,20 @@ def _sliding(df: DataFrame, rule: AggregateRule) -> DataFrame:
         short = F.struct(start.alias("start"), (start + F.expr(f"INTERVAL {size} SECONDS")).alias("end"))
         return _direct(df.withColumn(WINDOW_COLUMN, short), rule, WINDOW_COLUMN)
     window = F.window(_TIME, _seconds(size), _seconds(slide))
-    if df.isStreaming or _distincts(rule):
+    if df.isStreaming:
         return _direct(df, rule, window)
     start = F.window(_TIME, _seconds(slide))["start"]
     cut = start + F.expr(f"INTERVAL {size % slide} SECONDS")
     pane = F.when(ref(_TIME) < cut, start).otherwise(cut) if size % slide else start
-    panes = _panes(df.withColumn("_pane", pane), rule, ref("_pane")).withColumn(_TIME, ref("_pane"))
-    return panes.groupBy(window.alias(WINDOW_COLUMN), *_keys(rule)).agg(*_merge_columns(rule))
+    paned = df.withColumn("_pane", pane)
+    panes = _panes(paned, rule, ref("_pane")).withColumn(_TIME, ref("_pane"))
+    out = panes.groupBy(window.alias(WINDOW_COLUMN), *_keys(rule)).agg(F.count(F.lit(1)).alias("_panes"), *_merge_columns(rule))
+    for a in _distincts(rule):
+        # one row per pane and value is spread over the windows, not every input row
+        values = paned.select(ref("_pane").alias(_TIME), *_keys(rule), ref(a.input).alias("_value")).distinct()
+        counted = values.groupBy(window.alias(WINDOW_COLUMN), *_keys(rule)).agg(F.count_distinct("_value").alias(a.output))
+        out = _null_safe_join(out, counted, [WINDOW_COLUMN, *rule.key_fields])
+    return out.drop("_panes")
 
 
 def _distincts(rule: AggregateRule) -> list[Aggregation]:

@@ -8,11 +8,11 @@ partition, so the step adds no shuffle; ``repartition`` first to change how many
 from __future__ import annotations
 
 import json
+import threading
 import time
 import urllib.request
 from collections import deque
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from typing import Any
 
@@ -103,6 +103,34 @@ def http_scorer(spec: InferenceSpec, post=post_json) -> Scorer:
 register_scorer("http", http_scorer)
 
 
+class _Call:
+    """A call on a thread of its own, which may be left behind: a slow one takes no place from the next.
+
+    Its time counts from its own start.
+    """
+
+    def __init__(self, score: Scorer, batch: pd.DataFrame, timeout: float):
+        self._outcome: list = []
+        self._ended = threading.Event()
+        self._deadline = time.monotonic() + timeout
+        threading.Thread(target=self._run, args=(score, batch), daemon=True).start()
+
+    def _run(self, score: Scorer, batch: pd.DataFrame) -> None:
+        try:
+            self._outcome.append((score(batch), None))
+        except Exception as e:  # handed to whoever asks for the result
+            self._outcome.append((None, e))
+        self._ended.set()
+
+    def result(self) -> Any:
+        if not self._ended.wait(max(self._deadline - time.monotonic(), 0)):
+            raise TimeoutError("the call took too long")
+        value, error = self._outcome[0]
+        if error is not None:
+            raise error
+        return value
+
+
 # --- the step ---------------------------------------------------------------------------------
 
 
@@ -206,8 +234,9 @@ def infer(
 
     Outputs take the type ``declared`` gives them, else that of a column they overwrite, else text.
     A batch whose scorer raises or overruns its time is left out (SKIP), kept with null outputs
-    (PASS_THROUGH) or fails the job (FAIL). ``scorer`` defaults to the one registered for the
-    function's type; only those run several batches at a time.
+    (PASS_THROUGH) or fails the job (FAIL). Each call has its own time, and one that overruns it holds up
+    no other. ``scorer`` defaults to the one registered for the function's type; only those run several batches at
+    a time, ``async_capacity`` of them.
     """
     for name in spec.input_fields:
         require_column(df.schema, name, f"function {spec.function_id!r} input")
@@ -230,42 +259,40 @@ def infer(
                 raise RuntimeError(f"function {spec.function_id}: batch of {rows} rows failed") from e
             return None if spec.failure_strategy == "SKIP" else {n: pa.nulls(rows, t) for n, t in targets.items()}
 
-    def one_by_one(inputs: pd.DataFrame, cuts: list, score: Scorer) -> Iterator[dict | None]:
-        for start, stop in cuts:
-            yield columns_of(stop - start, lambda start=start, stop=stop: score(_part(inputs, start, stop)))
+    def out_of(table: pa.Table, cuts: list, results: list[dict | None]) -> Iterator[pa.RecordBatch]:
+        kept = [cut for cut, made in zip(cuts, results) if made is not None]
+        if len(kept) < len(cuts):
+            table = pa.concat_tables([table.slice(0, 0), *(table.slice(a, b - a) for a, b in kept)])
+        made = {n: pa.chunked_array([r[n] for r in results if r is not None], t) for n, t in targets.items()}
+        arrays = [made[f.name] if f.name in made else table.column(f.name).cast(f.type) for f in arrow_schema]
+        yield from pa.Table.from_arrays(arrays, schema=arrow_schema).combine_chunks().to_batches()
 
-    def overlapped(inputs: pd.DataFrame, cuts: list, score: Scorer) -> Iterator[dict | None]:
-        """Up to ``in_flight`` calls at a time, each ``async_timeout_ms`` long at most."""
-        pool = ThreadPoolExecutor(max_workers=min(in_flight, len(cuts)))
-        waiting: deque = deque()
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = factory(spec)
+        timeout = spec.async_timeout_ms / 1000
+        waiting: deque[tuple[list, int, _Call]] = deque()  # calls on the way, across chunks
+        chunks: deque[tuple[pa.Table, list, list]] = deque()
 
-        def settle() -> dict | None:
-            rows, call, deadline = waiting.popleft()
-            return columns_of(rows, lambda: call.result(timeout=max(deadline - time.monotonic(), 0)))
+        def settle() -> None:
+            results, rows, call = waiting.popleft()
+            results.append(columns_of(rows, call.result))
 
-        try:
-            for start, stop in cuts:
-                deadline = time.monotonic() + spec.async_timeout_ms / 1000
-                waiting.append((stop - start, pool.submit(score, _part(inputs, start, stop)), deadline))
-                if len(waiting) >= in_flight:
-                    yield settle()
-            while waiting:
-                yield settle()
-        finally:
-            pool.shutdown(wait=False, cancel_futures=True)
+        def finished() -> Iterator[pa.RecordBatch]:
+            while chunks and len(chunks[0][1]) == len(chunks[0][2]):
+                yield from out_of(*chunks.popleft())
 
-    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        score = factory(spec)
-        call = one_by_one if in_flight == 1 else overlapped
         for table, cuts in _chunks(frames, spec.batch_size, batch_by):
             inputs = table.select(list(spec.input_fields)).to_pandas(types_mapper=_PANDAS.get)
-            results = list(call(inputs, cuts, score))
-            kept = [cut for cut, made in zip(cuts, results) if made is not None]
-            if len(kept) < len(cuts):
-                table = pa.concat_tables([table.slice(0, 0), *(table.slice(a, b - a) for a, b in kept)])
-            made = {n: pa.chunked_array([r[n] for r in results if r is not None], t) for n, t in targets.items()}
-            arrays = [made[f.name] if f.name in made else table.column(f.name).cast(f.type) for f in arrow_schema]
-            yield from pa.Table.from_arrays(arrays, schema=arrow_schema).combine_chunks().to_batches()
+            results: list[dict | None] = []
+            chunks.append((table, cuts, results))
+            for start, stop in cuts:
+                while len(waiting) >= in_flight:
+                    settle()
+                waiting.append((results, stop - start, _Call(score, _part(inputs, start, stop), timeout)))
+            yield from finished()
+        while waiting:
+            settle()
+        yield from finished()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, out_schema)

@@ -24,6 +24,8 @@ from sluice.spec import ConfigError, InferenceSpec, TableSchema
 _RESULT_KEY = {"torchserve": "predictions"}
 _GENERIC_RESULT_KEY = "results"
 # Exact copies of a row kept together when copies are spread over buckets.
+_BUCKET_BYTES = 64 << 20
+_MOST_BUCKETS = 1 << 20  # as numbers; what a bucket holds is not limited
 _SLICE = 4096
 
 
@@ -62,18 +64,9 @@ def _request(spec: InferenceSpec, rows: Column, schema: T.StructType) -> Column:
 
 
 def _with_positions(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
-    """``_bucket, _at, row``: rows numbered from 0 in key order inside hash buckets of the whole row."""
-    row = F.struct(*(ref(c) for c in df.columns))
-    in_bucket = Window.partitionBy("_bucket").orderBy(*(F.col("row")[k] for k in key))
-    return df.select(
-        F.pmod(F.xxhash64(*(ref(c) for c in df.columns)), F.lit(buckets)).cast("int").alias("_bucket"), row.alias("row")
-    ).withColumn("_at", F.row_number().over(in_bucket) - 1)
+    """``_bucket, _at, row``: rows numbered from 0 in key order inside hash buckets of the whole row.
 
-
-def _with_copy_positions(df: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
-    """The same for rows with many exact copies, which all hash to one bucket.
-
-    Copies are counted first (combined map-side) and spread over buckets in slices, so that a group of
+    Copies of a row all hash alike, so they are counted first (combined map-side) and spread over buckets in slices, so that a group of
     copies, however large, is neither shuffled whole nor numbered by one task.
     """
     columns = [ref(c) for c in df.columns]
@@ -94,20 +87,22 @@ def _with_copy_positions(df: DataFrame, key: Sequence[str], buckets: int) -> Dat
 
 
 def build_requests(
-    df: DataFrame, spec: InferenceSpec, key: Sequence[str], buckets: int | None = None, copies: bool = False
+    df: DataFrame, spec: InferenceSpec, key: Sequence[str], buckets: int | None = None
 ) -> DataFrame:
     """``bucket, batch_no, rows, request``: one request document per ``spec.batch_size`` rows.
 
     Rows are numbered in ``key`` order inside ``buckets`` hash buckets, so the numbering is spread over
     tasks and comes out the same when a task runs again; a group holds at most one batch. ``rows``
-    keeps the whole input rows in request order. Set ``copies`` for input in which one row may be
-    repeated very many times; it costs one more shuffle.
+    keeps the whole input rows in request order. The number of buckets follows the size of the input; rows that
+    repeat are counted and spread in slices, so no bucket is much larger than another.
     """
     for name in (*spec.input_fields, *key):
         require_column(df.schema, name, f"function {spec.function_id!r} request")
-    # several buckets per shuffle partition, so that their hash spreads evenly
-    count = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = (_with_copy_positions if copies else _with_positions)(df, key, count)
+    # several buckets per shuffle partition, so that their hash spreads evenly, and none too large to sort
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    least = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = buckets or max(least, min(_MOST_BUCKETS, size // _BUCKET_BYTES))
+    numbered = _with_positions(df, key, count)
     batch_no = F.expr(f"_at div {spec.batch_size}").alias("batch_no")
     grouped = numbered.groupBy(F.col("_bucket").alias("bucket"), batch_no).agg(
         F.sort_array(F.collect_list(F.struct("_at", "row"))).alias("_rows")
@@ -143,8 +138,10 @@ def parse_responses(
     doc, rows, count = ref(response), ref("rows"), F.size("rows")
     width = len(spec.output_fields)
     if spec.service_type == "triton":
-        tensor = F.from_json(doc, "STRUCT<outputs: ARRAY<STRUCT<data: ARRAY<DOUBLE>>>>")
-        data = F.coalesce(F.get(tensor["outputs"], F.lit(0))["data"], F.array().cast("array<double>"))
+        # read as text, so that one quoted number does not void the others
+        tensor = F.from_json(doc, "STRUCT<outputs: ARRAY<STRUCT<data: ARRAY<STRING>>>>")
+        texts = F.coalesce(F.get(tensor["outputs"], F.lit(0))["data"], F.array().cast("array<string>"))
+        data = F.transform(texts, lambda x: x.try_cast("double"))
         lists = [_every(data, width, j) for j in range(width)]
     else:
         lists = [_answers(spec, doc)]

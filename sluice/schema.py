@@ -69,13 +69,23 @@ def null_violations(df: DataFrame, schema: TableSchema) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
+ON_NULL = ("fail", "drop", "quarantine")
+
+
+def check_on_null(on_null: str) -> None:
+    if on_null not in ON_NULL:
+        raise ConfigError(f"on_null: unknown word {on_null!r}; known: {', '.join(ON_NULL)}")
+
+
 def conform(df: DataFrame, schema: TableSchema, on_null: str = "fail", keep: tuple[str, ...] = ()) -> DataFrame:
     """Project to the declared names and types, in declared order.
 
     Extra columns are dropped (but for those named in ``keep``), absent nullable ones become
     typed nulls. A null in a required field fails the job; with ``on_null="drop"`` the row is
-    left out, and :func:`null_violations` finds those rows for a quarantine.
+    left out. ``"quarantine"`` is for callers that have set such rows aside (:func:`null_violations`)
+    before; what is left of them here fails the job all the same.
     """
+    check_on_null(on_null)
     for f in schema.fields:
         if f.name not in df.columns and schema.required(f):
             raise ConfigError(f"sink {schema.table!r}: required field {f.name!r} is missing from the rows")
@@ -84,7 +94,7 @@ def conform(df: DataFrame, schema: TableSchema, on_null: str = "fail", keep: tup
     out = []
     for f in schema.fields:
         col = _sink_value(df, f)
-        if on_null == "fail" and schema.required(f):
+        if on_null != "drop" and schema.required(f):
             message = f"NOT NULL violated: field {f.name} of table {schema.table}"
             col = F.coalesce(col, F.raise_error(F.lit(message)).cast(spark_type(f)))
         out.append(col.alias(f.name))

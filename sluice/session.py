@@ -33,12 +33,17 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
+    """The folder all executors can reach: what ``spark.checkpoint.dir`` or the context's checkpoint folder names.
 
-    Only where the setting is absent (tests on one machine) a temporary folder stands in for it.
+    Only on one machine, where neither is set, a temporary folder stands in for it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = given.get() if given.isDefined() else None
+    if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_FOLDERS:
             _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="sluice-shared-")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from sluice.schema import quote, spark_type
 from sluice.spec import LakeSpec, TableSchema
@@ -30,15 +30,19 @@ def create_table(
     properties: Mapping[str, str] | None = None,
     location: str | None = None,
     bucket_column: str | None = None,
+    folders: Mapping[str, str] | None = None,
 ) -> str:
     """``CREATE TABLE IF NOT EXISTS`` with NOT NULL columns and partitions.
 
-    The primary key has no clause of its own in Spark, so it is kept as the ``primary-keys`` property.
+    The primary key has no clause of its own in Spark, so it is kept as the ``primary-keys`` property. ``folders`` maps
+    partition keys to the text columns that name their folders instead.
     """
+    folders = folders or {}
     columns = []
     for f in schema.fields:
         columns.append(f"{quote(f.name)} {spark_type(f).simpleString().upper()}" + (" NOT NULL" if schema.required(f) else ""))
-    partitions = [quote(k) for k in schema.partition_keys]
+    partitions = [quote(folders.get(k, k)) for k in schema.partition_keys]
+    columns += [f"{quote(name)} STRING" for key, name in folders.items() if name != key]
     if bucket_column:
         columns.append(f"{quote(bucket_column)} INT")
         partitions.append(quote(bucket_column))
@@ -55,10 +59,14 @@ def create_table(
     return sql
 
 
-def merge(identifier: str, schema: TableSchema, source: str) -> str:
-    """Whole-row upsert for a catalog with row-level operations."""
+def merge(identifier: str, schema: TableSchema, source: str, sequence: Sequence[str] = ()) -> str:
+    """Whole-row upsert for a catalog with row-level operations; a row of a lower sequence changes nothing."""
     on = " AND ".join(f"t.{quote(k)} = s.{quote(k)}" for k in schema.primary_keys)
+    newer = ""
+    if sequence:
+        side = lambda x: "struct(" + ", ".join(f"{x}.{quote(f)}" for f in sequence) + ")"
+        newer = f" AND {side('s')} >= {side('t')}"
     return (
         f"MERGE INTO {identifier} AS t USING {source} AS s ON {on} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        f"WHEN MATCHED{newer} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
     )

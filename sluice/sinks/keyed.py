@@ -3,45 +3,60 @@
 An upsert replaces whole rows by key and rewrites only the folders (partition keys and key bucket)
 the batch touches. It works in three steps so that a lost executor or driver never loses rows:
 
-1. the batch is evaluated once and written to the shared folder, one row per key;
+1. the batch is evaluated once and written beside the table, one row per key;
 2. the touched folders are merged with it into a staging folder beside the table;
 3. each merged folder is moved to the place of the live one, which writes nothing again. If a run
-   died here, the next upsert (or ``recover``) first moves the folders still in staging.
+   died here, ``read`` takes the folders still in staging from there, and the next upsert (or
+   ``recover``) moves them.
 
-With ``compact_every`` above 1 a batch is only appended as a delta (its cost is the batch's size, not that
-of the folders it touches); ``read`` puts the deltas over the folders, and every so many batches they
-are folded in by the steps above. This is the mode for frequent small batches on a big table.
-
-One writer at a time is assumed.
+Folders of a text partition key are named by a marked copy of it, ``_p_<key>``, since Spark stores an empty
+text as no text there; the key itself is a column of the files. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.enrich import latest_per_key
-from sluice.schema import conform, null_violations, ref, struct_type
-from sluice.session import path_exists, remove_path, replace_folder, shared_dir, subfolders
+from sluice.schema import check_on_null, conform, null_violations, ref, spark_type, struct_type
+from sluice.session import path_exists, remove_path, replace_folder, subfolders
 from sluice.spec import ConfigError, TableSchema
 
 BUCKET_COLUMN = "_bucket"
-_DELTA_COLUMN = "_delta"
-# Touched folders are listed for partition pruning up to this many; beyond it the semi join alone
-# picks the rows.
-_LISTED_FOLDERS = 10_000
+_NEW = "_incoming"
 # Folders moved at a time; each move is a few calls to the file system.
 _MOVES = 16
-_LISTABLE = (T.StringType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
 
 
-def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``existing`` with the rows of ``incoming`` put in place by key; both have one row per key."""
+def folder_column(schema: TableSchema, key: str) -> str:
+    """The column that names the folders of a partition key."""
+    return f"_p_{key}" if isinstance(spark_type(schema.field(key)), T.StringType) else key
+
+
+def with_folders(df: DataFrame, schema: TableSchema) -> DataFrame:
+    """``df`` with the folder columns of text partition keys."""
+    for key in schema.partition_keys:
+        if (name := folder_column(schema, key)) != key:
+            df = df.withColumn(name, F.concat(F.lit("v"), ref(key)))
+    return df
+
+
+def merge_rows(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], sequence: Sequence[str] = ()) -> DataFrame:
+    """``existing`` with the rows of ``incoming`` put in place by key; both have one row per key.
+
+    With ``sequence`` fields the row of the higher sequence stays, whichever batch it came in; an equal one is replaced.
+    """
+    if sequence:
+        both = existing.withColumn(_NEW, F.lit(0)).unionByName(incoming.withColumn(_NEW, F.lit(1)))
+        return latest_per_key(both, keys, [*sequence, _NEW]).drop(_NEW)
     untouched = existing.join(incoming.select(*(ref(k) for k in keys)), list(keys), "left_anti")
     return untouched.unionByName(incoming)
 
@@ -54,102 +69,92 @@ class KeyedTable:
     buckets: int = 8
     changelog: bool = False
     name: str | None = None  # set when the table is registered in the session catalog
-    compact_every: int = 1
+    sequence: tuple[str, ...] = ()  # fields that order the rows of a key, across batches too
 
     def __post_init__(self):
         if not self.schema.primary_keys:
             raise ConfigError(f"table {self.schema.table!r}: an upsert needs a primary key")
+        for name in self.sequence:
+            if name not in self.schema.names:
+                raise ConfigError(f"table {self.schema.table!r}: sequence field {name!r} is not a declared field")
 
     @property
     def layout(self) -> list[str]:
-        return [*self.schema.partition_keys, BUCKET_COLUMN]
+        return [*(folder_column(self.schema, k) for k in self.schema.partition_keys), BUCKET_COLUMN]
+
+    def _beside(self, what: str) -> str:
+        return f"{self.path.rstrip('/')}__{what}"
 
     @property
     def changelog_path(self) -> str:
-        return self.path.rstrip("/") + "__changelog"
+        return self._beside("changelog")
 
     @property
     def _staging(self) -> str:
-        return self.path.rstrip("/") + "__staged"
+        return self._beside("staged")
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         bucket = F.pmod(F.xxhash64(*(ref(k) for k in self.schema.primary_keys)), F.lit(self.buckets))
-        return df.withColumn(BUCKET_COLUMN, bucket.cast("int"))
+        return with_folders(df, self.schema).withColumn(BUCKET_COLUMN, bucket.cast("int"))
 
     @property
     def _stored(self) -> T.StructType:
         fields = [T.StructField(f.name, f.dataType, True) for f in struct_type(self.schema).fields]
-        return T.StructType([*fields, T.StructField(BUCKET_COLUMN, T.IntegerType())])
+        marks = [T.StructField(n, T.StringType()) for n in self.layout if n.startswith("_p_") and n not in self.schema.names]
+        return T.StructType([*fields, *marks, T.StructField(BUCKET_COLUMN, T.IntegerType())])
 
     def _read_folder(self, path: str) -> DataFrame:
         if not path_exists(self.spark, path):
             return self.spark.createDataFrame([], self._stored)
         return self.spark.read.schema(self._stored).parquet(path)
 
+    def _same_folder(self, a: str, b: str) -> Column:
+        return reduce(lambda x, y: x & y, (F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in self.layout))
+
+    def _in_folders(self, rows: DataFrame, of: DataFrame, how: str) -> DataFrame:
+        """``rows`` in (``left_semi``) or not in (``left_anti``) the folders that ``of`` has rows for."""
+        folders = of.select(*(ref(c) for c in self.layout)).distinct()
+        return rows.alias("r").join(folders.alias("f"), self._same_folder("r", "f"), how)
+
+    def _staged(self) -> list[str]:
+        """Complete staging folders of an interrupted upsert."""
+        if not path_exists(self.spark, self._staging):
+            return []
+        names = [f"{self._staging}/{batch}" for batch in subfolders(self.spark, self._staging, 2)]
+        return [n for n in names if path_exists(self.spark, f"{n}/_SUCCESS")]
+
     def read(self) -> DataFrame:
         """The current rows, one per key."""
         rows = self._read_folder(self.path)
-        if self._deltas():
-            rows = merge_rows(rows, self._read_deltas(), self.schema.primary_keys)
+        for staged in self._staged():
+            waiting = self._read_folder(staged)
+            rows = self._in_folders(rows, waiting, "left_anti").unionByName(waiting)
         return rows.select(*(ref(n) for n in self.schema.names))
 
-    # --- deltas -------------------------------------------------------------------------------
-
-    @property
-    def _delta_path(self) -> str:
-        return self.path.rstrip("/") + "__delta"
+    # --- folders ------------------------------------------------------------------------------
 
-    def _deltas(self) -> list[str]:
-        """Delta folders, oldest first."""
-        if not path_exists(self.spark, self._delta_path):
-            return []
-        return sorted(n for n in subfolders(self.spark, self._delta_path, 1) if n.startswith(f"{_DELTA_COLUMN}="))
-
-    def _read_deltas(self) -> DataFrame:
-        """The newest row per key of all deltas."""
-        tagged = T.StructType([*self._stored.fields, T.StructField(_DELTA_COLUMN, T.StringType())])
-        rows = self.spark.read.schema(tagged).parquet(self._delta_path)
-        return latest_per_key(rows, self.schema.primary_keys, [_DELTA_COLUMN]).drop(_DELTA_COLUMN)
-
-    def _add_delta(self, written: str, batch_id, run_id) -> None:
-        """Move a written batch in as the newest delta, or to the place of its earlier attempt."""
-        names, tag = self._deltas(), f"{run_id}-{batch_id}"
-        name = next((n for n in names if n.split("-", 1)[1] == tag), None)
-        if name is None:
-            number = 1 + int(names[-1].split("=")[1].split("-")[0]) if names else 0
-            name = f"{_DELTA_COLUMN}={number:012d}-{tag}"
-        replace_folder(self.spark, written, f"{self._delta_path}/{name}")
-        self.spark.catalog.refreshByPath(self._delta_path)
-
-    def compact(self) -> None:
-        """Fold all deltas into the table's folders."""
-        names = self._deltas()
-        if not names:
-            return
-        self._fold(self._read_deltas(), f"{self._staging}/compact/{names[-1].split('=')[1]}")
-        for name in names:  # oldest first, so that what is left after a failure is still the newest
-            remove_path(self.spark, f"{self._delta_path}/{name}")
+    def _check_layout(self) -> None:
+        """The bucket count is fixed when the table is first written, since it decides where a key is."""
+        path = self._beside("layout")
+        if path_exists(self.spark, path):
+            found = self.spark.read.schema("buckets int").json(path).first()[0]
+            if found != self.buckets:
+                raise ConfigError(f"table {self.schema.table!r} was written with {found} buckets, not {self.buckets}")
+        else:
+            self.spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.json(path)
 
     def _fold(self, incoming: DataFrame, staged: str) -> None:
-        """Put rows, one per key, into the folders they belong to."""
-        stored, any_rows = self._touched_folders(incoming)
-        if any_rows:
-            self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys), staged)
-            self._publish(staged)
-            remove_path(self.spark, staged)
-
-    # --- folders ------------------------------------------------------------------------------
+        """Put rows, one per key, into the folders they belong to.
 
-    def _touched_folders(self, incoming: DataFrame) -> tuple[DataFrame, bool]:
-        """The stored rows of every folder the batch has rows for, and whether it has any rows."""
-        stored = self._read_folder(self.path)
-        touched = incoming.select(*(ref(c) for c in self.layout)).distinct()
-        listed = touched.limit(_LISTED_FOLDERS + 1).collect()
-        if len(listed) <= _LISTED_FOLDERS:
-            for name in self.layout:
-                if isinstance(stored.schema[name].dataType, _LISTABLE):
-                    stored = stored.filter(ref(name).isin({r[name] for r in listed}))
-        return stored.join(touched, self.layout, "left_semi"), bool(listed)
+        The touched folders are picked by a join with the batch's own, which prunes partitions where that side is small
+        enough to be broadcast, and works alike at any size.
+        """
+        if incoming.isEmpty():
+            return
+        stored = self._in_folders(self._read_folder(self.path), incoming.filter(ref(BUCKET_COLUMN) >= 0), "left_semi")
+        self._stage_merged(merge_rows(stored, incoming, self.schema.primary_keys, self.sequence), staged)
+        self._publish(staged)
+        remove_path(self.spark, staged)
 
     def _stage_merged(self, merged: DataFrame, path: str) -> None:
         # rebalance: one task per folder, but a big folder is split over several
@@ -182,23 +187,20 @@ class KeyedTable:
     ) -> None:
         """Put the batch's latest row per key into the table; repeating a batch changes nothing.
 
-        ``run_id`` keeps the staging areas of different runs apart. ``order_by`` decides between rows
-        of one key in the batch. A row with an empty required field fails the batch, is dropped
+        ``run_id`` tells runs apart in the change log and among rejected rows. ``order_by`` decides between rows of
+        one key in the batch. A row with an empty required field fails the batch, is dropped
         (``on_null="drop"``) or set aside under ``<path>__rejected`` (``"quarantine"``).
         """
+        check_on_null(on_null)
+        self._check_layout()
         self.recover()
-        if self.compact_every <= 1:
-            self.compact()  # deltas from an earlier setting would hide what is written now
-        shared = f"{shared_dir(self.spark)}/sluice-stage/{self.schema.table}/{run_id}/{batch_id}"
-        written = f"{self._delta_path}/_writing" if self.compact_every > 1 else f"{shared}/incoming"
-        self._write_incoming(rows, written, shared, batch_id, run_id, order_by, on_null)
-        if self.compact_every > 1:
-            self._add_delta(written, batch_id, run_id)
-            if len(self._deltas()) >= self.compact_every:
-                self.compact()
-        else:
-            self._fold(self._read_folder(written), f"{self._staging}/{run_id}/{batch_id}")
-        remove_path(self.spark, shared)
+        incoming = self._beside("incoming")
+        if path_exists(self.spark, incoming):
+            remove_path(self.spark, incoming)  # of a run that did not end
+        here = f"{incoming}/{uuid.uuid4().hex}"
+        self._write_incoming(rows, f"{here}/latest", here, batch_id, run_id, order_by, on_null)
+        self._fold(self._read_folder(f"{here}/latest"), f"{self._staging}/{run_id}/{batch_id}")
+        remove_path(self.spark, incoming)
 
     def recover(self) -> None:
         """Finish what an interrupted upsert had merged but not yet moved; every upsert starts so."""
@@ -215,32 +217,36 @@ class KeyedTable:
         names = [o for o in order_by if isinstance(o, str)]
         extra = tuple(n for n in names if n not in self.schema.names)
         if on_null == "quarantine":
-            rows = self._set_aside(rows, stage, batch_id, run_id)
+            rows = set_aside(rows, self.schema, self.path, stage, batch_id, run_id)
         accepted = conform(rows, self.schema, "drop" if on_null == "drop" else "fail", keep=extra)
         if self.changelog:
             accepted = self._log(accepted, batch_id, run_id)
         latest = latest_per_key(accepted, self.schema.primary_keys, order_by)
         self._bucketed(latest.select(*(ref(n) for n in self.schema.names))).write.mode("overwrite").parquet(target)
 
-    def _set_aside(self, rows: DataFrame, stage: str, batch_id, run_id) -> DataFrame:
-        # evaluated once into staging, then split
-        rows.write.mode("overwrite").parquet(f"{stage}/rows")
-        rows = self.spark.read.schema(rows.schema).parquet(f"{stage}/rows")
-        bad = null_violations(rows, self.schema)
-        _write_batch(rows.filter(bad), self.path.rstrip("/") + "__rejected", batch_id, run_id)
-        return rows.filter(~bad)
-
     def _log(self, accepted: DataFrame, batch_id, run_id) -> DataFrame:
         """Append the accepted rows to the change log and go on from the written copy."""
-        _write_batch(accepted, self.changelog_path, batch_id, run_id)
+        write_batch(accepted, self.changelog_path, batch_id, run_id)
         folder = f"{self.changelog_path}/_run={run_id}/_batch={batch_id}"
         if not path_exists(self.spark, folder):
             return self.spark.createDataFrame([], accepted.schema)
         return self.spark.read.schema(accepted.schema).parquet(folder)
 
 
-def _write_batch(df: DataFrame, path: str, batch_id, run_id) -> None:
-    """Write one batch's folder; writing it again replaces it."""
+def set_aside(rows: DataFrame, schema: TableSchema, path: str, stage: str, batch_id, run_id) -> DataFrame:
+    """Store the rows that leave a required field empty under ``<path>__rejected`` and return the others."""
+    # evaluated once into staging, then split
+    rows.write.mode("overwrite").parquet(f"{stage}/rows")
+    rows = rows.sparkSession.read.schema(rows.schema).parquet(f"{stage}/rows")
+    bad = null_violations(rows, schema)
+    write_batch(rows.filter(bad), path.rstrip("/") + "__rejected", batch_id, run_id)
+    return rows.filter(~bad)
+
+
+def write_batch(df: DataFrame, path: str, batch_id, run_id, partitions: Sequence[str] = ()) -> None:
+    """Write one batch's folders; writing it again replaces them."""
+    spark, folder = df.sparkSession, f"{path.rstrip('/')}/_run={run_id}/_batch={batch_id}"
+    if path_exists(spark, folder):
+        remove_path(spark, folder)
     tagged = df.withColumn("_run", F.lit(str(run_id))).withColumn("_batch", F.lit(str(batch_id)))
-    writer = tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("_run", "_batch").parquet(path)
+    tagged.write.mode("append").partitionBy("_run", "_batch", *partitions).parquet(path)

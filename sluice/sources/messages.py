@@ -18,14 +18,15 @@ from sluice.spec import KafkaSpec
 SOURCE_COLUMN = "_src"
 
 
-def kafka_options(spec: KafkaSpec, min_partitions: int | None = None) -> dict[str, str]:
+def kafka_options(spec: KafkaSpec, min_partitions: int | None = None, group: str = "") -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": spec.bootstrap_servers,
         "subscribe": spec.topic,
-        "kafka.group.id": spec.group_id,
+        "kafka.group.id": f"{spec.group_id}-{group}" if group else spec.group_id,
     }
     if spec.starting_offset == "timestamp":
         options["startingTimestamp"] = str(spec.starting_timestamp)
+        options["startingOffsetsByTimestampStrategy"] = "latest"  # past the newest record: wait for the next one
     else:
         options["startingOffsets"] = spec.starting_offset
     if min_partitions is not None and min_partitions > 1:
@@ -33,9 +34,12 @@ def kafka_options(spec: KafkaSpec, min_partitions: int | None = None) -> dict[st
     return options
 
 
-def read_kafka(spark: SparkSession, spec: KafkaSpec, min_partitions: int | None = None) -> DataFrame:
-    """Endless stream of message values; needs the Kafka connector on the class path."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(spec, min_partitions)).load()
+def read_kafka(spark: SparkSession, spec: KafkaSpec, min_partitions: int | None = None, group: str = "") -> DataFrame:
+    """Endless stream of message values; needs the Kafka connector on the class path.
+
+    ``group`` sets a second reader of one topic apart from the first.
+    """
+    raw = spark.readStream.format("kafka").options(**kafka_options(spec, min_partitions, group)).load()
     return raw.select("value", F.struct("offset", "partition").alias(SOURCE_COLUMN))
 
 
@@ -50,8 +54,8 @@ def read_files(spark: SparkSession, path: str, streaming: bool = False, ordered:
     """One message per line, as a stream of arriving files or as a batch replay.
 
     Messages are ordered by file time, file, and place in the file. A stream has no built-in row
-    counter, so the lines of its tasks pass through Python in Arrow batches to be counted; with
-    ``ordered=False`` they do not, and lines of one file are left unordered.
+    counter, so the lines of its tasks pass through Python in Arrow batches to be counted. Where the order of
+    one file's lines decides nothing (no key, or a ``sequence.field``), ``ordered=False`` spares that.
     """
     reader = spark.readStream if streaming else spark.read
     raw = reader.format("text").options(**options).load(path)

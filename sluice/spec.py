@@ -241,7 +241,7 @@ class AggregateRule:
     window: WindowSpec = field(default_factory=WindowSpec)
     aggregations: tuple[Aggregation, ...] = ()
     time_field: str | None = None
-    watermark: str = "0 seconds"
+    watermark: str | None = None  # required on a stream with a time_field: what is later than that is dropped
     nulls: str = "zero"
     emit_window: bool = False
     rsd: float = 0.05

@@ -8,10 +8,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.enrich import latest_per_key
 from sluice.operators.inference import ScorerFactory
-from sluice.plans.job import ensure_table, rows_of, sequence, table_of
-from sluice.schema import conform, ref
+from sluice.plans.chain import Chain
+from sluice.plans.job import append_batch, ensure_table, merge_batch, rows_of, sequence, table_of
+from sluice.schema import check_on_null, ref
 from sluice.session import apply_conf, ship_package
 from sluice.sinks import ddl
 from sluice.sources.config_tables import ConfigTables
@@ -65,15 +65,20 @@ def upsert_batches(
     return write
 
 
-def merge_batches(job: JobSpec, identifier: str) -> Callable[[DataFrame, int], None]:
+def merge_batches(job: JobSpec, checkpoint: str, identifier: str, on_null: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function for a catalog with row-level operations."""
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        order = sequence(job, rows)
-        extra = tuple(o for o in order if isinstance(o, str) and o not in job.schema.names)
-        latest = latest_per_key(conform(rows, job.schema, keep=extra), job.schema.primary_keys, order)
-        latest.select(*(ref(n) for n in job.schema.names)).createOrReplaceTempView("_sluice_batch")
-        rows.sparkSession.sql(ddl.merge(identifier, job.schema, "_sluice_batch"))
+        merge_batch(job, identifier, rows, batch_id, _run_id(rows.sparkSession, checkpoint), on_null)
+
+    return write
+
+
+def append_batches(job: JobSpec, checkpoint: str, on_null: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function that appends each micro-batch once, whatever is repeated."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        append_batch(job, rows, batch_id, _run_id(rows.sparkSession, checkpoint), on_null)
 
     return write
 
@@ -90,33 +95,31 @@ def run_stream(
     output_mode: str = "append",
     fmt: str = "parquet",
     register: bool = False,
+    chain: Chain | None = None,
 ) -> StreamingQuery:
     """Start the job; messages come from its Kafka topic unless a ``source`` stream is given.
 
-    A table with a primary key is upserted batch by batch, others are appended to by Spark's own
-    exactly-once file sink. ``on_bad_record="quarantine"`` leaves bad messages out here; pair it with
+    A table with a primary key is upserted batch by batch, others are appended to, each batch in folders of its own
+    that a repeated one replaces. ``chain`` replaces the job's own steps. ``on_bad_record="quarantine"`` leaves bad messages out here; pair it with
     :func:`start_quarantine`, which stores them. ``register`` also creates the database and table in
     the session catalog; without it the table is its folder alone.
     """
     apply_conf(spark)
+    check_on_null(on_null)
     if source is None:
         if job.kafka is None:
             raise ConfigError(f"job {job.name!r}: no source is configured")
         source = read_kafka(spark, job.kafka, job.parallelism)
     mode = "drop" if on_bad_record == "quarantine" else on_bad_record
-    rows = rows_of(job, source, scorers, mode, keep_hidden=True)
+    rows = rows_of(job, source, scorers, mode, keep_hidden=True, chain=chain)
     options = {"checkpointLocation": checkpoint}
-    if job.schema.primary_keys:
-        if fmt in ddl.ROW_LEVEL_FORMATS:
-            write = merge_batches(job, ensure_table(spark, job, fmt))
-        else:
-            write = upsert_batches(job, checkpoint, on_null, ensure_table(spark, job) if register else None)
-        writer = rows.writeStream.foreachBatch(write).outputMode(output_mode)
+    if fmt in ddl.ROW_LEVEL_FORMATS and job.schema.primary_keys:
+        write = merge_batches(job, checkpoint, ensure_table(spark, job, fmt), on_null)
+    elif job.schema.primary_keys:
+        write = upsert_batches(job, checkpoint, on_null, ensure_table(spark, job) if register else None)
     else:
-        rows = conform(rows, job.schema, on_null)
-        writer = rows.writeStream.format(fmt).outputMode("append").option("path", ddl.table_path(job.lake, job.schema))
-        if job.schema.partition_keys:
-            writer = writer.partitionBy(*job.schema.partition_keys)
+        write = append_batches(job, checkpoint, on_null)
+    writer = rows.writeStream.foreachBatch(write).outputMode(output_mode)
     trig = _trigger(job, trigger)
     writer = writer.options(**options).queryName(job.name)
     return _start(spark, job, writer.trigger(**trig) if trig else writer)
@@ -130,7 +133,10 @@ def run_job(spark: SparkSession, name: str, config: ConfigTables, checkpoint: st
 def start_quarantine(
     spark: SparkSession, job: JobSpec, source: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Store the messages of ``source`` that cannot be decoded, as text, under ``path``."""
+    """Store the messages of ``source`` that cannot be decoded, as text, under ``path``.
+
+    A Kafka source of its own needs a consumer group of its own: ``read_kafka(spec, group="quarantine")``.
+    """
     bad = decode_json(source, job.schema, "keep").filter(ref(BAD_RECORD).isNotNull()).select(ref(BAD_RECORD).alias("value"))
     writer = bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -97,11 +97,11 @@ def test_logic(rows):
     assert ids(keep(rows, logic="OR")) == [1, 2, 3]
 
 
-def test_documented_example(spark):
-    data = [(150.0, "click", 1), (100.0, "click", 1), (150.0, "view", 1), (150.0, "purchase", None), (None, "click", 1)]
-    df = spark.createDataFrame(data, "amount double, event_type string, user_id bigint")
-    out = keep(df, c("amount", "gt", 100), c("event_type", "in", values=["click", "purchase"]), c("user_id", "not_null"))
-    assert out.collect() == [(150.0, "click", 1)]
+def test_three_conditions(spark):
+    data = [(7.5, "north", 1), (9.5, "north", 1), (7.5, "south", 1), (7.5, "north", 4), (None, "north", 1)]
+    df = spark.createDataFrame(data, "celsius double, wing string, floor bigint")
+    out = keep(df, c("celsius", "gte", 7), c("celsius", "ne", 9.5), c("wing", "not_in", values=["south"]), c("floor", "lte", 3))
+    assert out.collect() == [(7.5, "north", 1)]
 
 
 @pytest.mark.parametrize("condition", [c("missing", "eq", 1), c("kind", "like", "x"), c("kind", "regex", None)])

@@ -1,5 +1,6 @@
 import json
 import time
+from dataclasses import replace
 
 import pandas as pd
 import pytest
@@ -190,7 +191,7 @@ def test_spark_requests_are_cut_and_numbered(rows):
 
 def test_copies_are_spread_and_kept_whole(spark):
     df = spark.range(20000).select(F.lit(7).cast("bigint").alias("a"), F.lit(1.0).alias("b")).union(spark.range(50).select("id", F.lit(None).cast("double")))
-    made = build_requests(df, spec(batch_size=64), ["a"], buckets=8, copies=True)
+    made = build_requests(df, spec(batch_size=64), ["a"], buckets=8)
     back = made.select(F.explode("rows").alias("r")).select("r.a", "r.b")
     assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
     sizes = made.groupBy("bucket").agg(F.sum(F.size("rows")).alias("n"), F.max(F.size("rows")).alias("high"), F.count("*").alias("batches")).collect()
@@ -220,3 +221,25 @@ def test_responses(spark, service_type, response, expected):
 def test_triton_inputs_must_be_numeric(rows):
     with pytest.raises(ConfigError):
         build_requests(rows, spec(service_type="triton", input_fields=("note",)), ["a"])
+
+
+@pytest.mark.parametrize("capacity", [1, 2])
+def test_a_slow_call_holds_up_no_other(spark, capacity):
+    def factory(spec):
+        import time
+
+        def score(batch):
+            if batch["a"].iloc[0] in (0, 2):
+                time.sleep(3)
+            return [{"out": float(v)} for v in batch["a"]]
+
+        return score
+
+    df = spark.range(12).select(F.col("id").alias("a")).coalesce(1)
+    made = spec(input_fields=("a",), output_fields=("out",), batch_size=1, async_capacity=capacity, async_timeout_ms=400)
+    if capacity == 1:
+        out = infer(df, made, factory)
+    else:
+        register_scorer("sleepy", factory)
+        out = infer(df, replace(made, function_type="sleepy"), None)
+    assert [r.a for r in out.filter("out IS NULL").orderBy("a").collect()] == [0, 2]

@@ -7,7 +7,7 @@ from helpers import (
     SAMPLE_SCHEMA,
     SAMPLE_STEPS,
     config_tables,
-    fraud_scorer,
+    rating_scorer,
     function_row,
     job_row,
     step_rows,
@@ -34,18 +34,18 @@ def put(folder, name, *messages):
 
 
 def table_rows(spark, job):
-    return sorted((r.user_id, r.amount, r.merchant, r.is_fraud, r.fraud_score) for r in table_of(spark, job).read().collect())
+    return sorted((r.sensor_id, r.reading, r.site, r.alarm, r.severity) for r in table_of(spark, job).read().collect())
 
 
 # --- config tables ----------------------------------------------------------------------------
 
 
 def test_load(spark, config):
-    job = config.load("fraud")
+    job = config.load("sensors")
     assert [s.type for s in job.steps] == ["filter", "transform", "ai-inference"]
-    assert job.steps[2].function.input_fields == ("user_id", "amount", "merchant")
-    assert job.kafka == KafkaSpec("broker:9092", "transactions", "g", "latest")
-    assert (job.parallelism, job.lake.table_properties["bucket"], job.schema.primary_keys) == (2, "4", ("user_id", "event_time"))
+    assert job.steps[2].function.input_fields == ("sensor_id", "reading", "site")
+    assert job.kafka == KafkaSpec("kafka.test:9092", "readings", "g", "latest")
+    assert (job.parallelism, job.lake.table_properties["bucket"], job.schema.primary_keys) == (2, "4", ("sensor_id", "measured_at"))
 
 
 @pytest.mark.parametrize(
@@ -58,32 +58,33 @@ def test_load(spark, config):
         ([job_row()], step_rows(steps=[("ai-inference", None, None)]), [function_row()]),
         ([job_row()], step_rows(steps=[("join", None, "{}")]), [function_row()]),
         ([job_row()], step_rows(), [function_row(strategy="RETRY")]),
-        ([job_row(schema={**SAMPLE_SCHEMA, "fields": [{"name": "user_id", "type": "BLOB"}]})], step_rows(), [function_row()]),
+        ([job_row(schema={**SAMPLE_SCHEMA, "fields": [{"name": "sensor_id", "type": "BLOB"}]})], step_rows(), [function_row()]),
     ],
 )
 def test_load_refuses(spark, jobs, steps, functions):
     with pytest.raises(ConfigError):
-        config_tables(spark, jobs, steps, functions).load("fraud")
+        config_tables(spark, jobs, steps, functions).load("sensors")
 
 
 def test_disabled_steps_are_left_out(spark):
     steps = [(*row[:-1], 0 if row[2] == 1 else 1) for row in step_rows()]
-    job = config_tables(spark, [job_row()], steps, [function_row()]).load("fraud")
+    job = config_tables(spark, [job_row()], steps, [function_row()]).load("sensors")
     assert [s.type for s in job.steps] == ["transform", "ai-inference"]
 
 
 def test_function_types_without_a_scorer_fail_when_compiled(spark):
-    job = config_tables(spark, [job_row()], step_rows(), [function_row(function_type="mcp")]).load("fraud")
+    job = config_tables(spark, [job_row()], step_rows(), [function_row(function_type="mcp")]).load("sensors")
     with pytest.raises(ConfigError):
         Chain.from_job(job)
-    assert len(Chain.from_job(job, {"fraud-detect-v1": fraud_scorer()}).steps) == 3
+    assert len(Chain.from_job(job, {"rate-reading": rating_scorer()}).steps) == 3
 
 
 def test_kafka_options():
     base = {"kafka.bootstrap.servers": "b:1", "subscribe": "t", "kafka.group.id": "g"}
     assert kafka_options(KafkaSpec("b:1", "t", "g")) == {**base, "startingOffsets": "latest"}
     assert kafka_options(KafkaSpec("b:1", "t", "g", "earliest"), 4) == {**base, "startingOffsets": "earliest", "minPartitions": "4"}
-    assert kafka_options(KafkaSpec("b:1", "t", "g", "timestamp", 17), 1) == {**base, "startingTimestamp": "17"}
+    assert kafka_options(KafkaSpec("b:1", "t", "g", "timestamp", 17), 1) == {**base, "startingTimestamp": "17", "startingOffsetsByTimestampStrategy": "latest"}
+    assert kafka_options(KafkaSpec("b:1", "t", "g"), group="bad")["kafka.group.id"] == "g-bad"
 
 
 # --- batch ------------------------------------------------------------------------------------
@@ -91,31 +92,31 @@ def test_kafka_options():
 
 def test_sample_job_in_batch(spark, config, tmp_path):
     put(tmp_path / "in", "a.txt", *SAMPLE_MESSAGES)
-    job = config.load("fraud")
-    out = run_batch(spark, job, read_files(spark, str(tmp_path / "in")), {"fraud-detect-v1": fraud_scorer()})
+    job = config.load("sensors")
+    out = run_batch(spark, job, read_files(spark, str(tmp_path / "in")), {"rate-reading": rating_scorer()})
     assert sorted(map(tuple, out.collect())) == [
-        (1, 100.0, "SHOP", AT, False, 0.1),
+        (1, 100.0, "north", AT, False, 0.1),
         (4, 50.0, "", datetime(2024, 1, 1, 10, 0, 3), False, 0.05),
     ]
 
 
 def test_replays_are_their_own_runs(spark, tmp_path):
-    tables = [job_row(warehouse=tmp_path, **{"changelog-producer": "input", "full-compaction.delta-commits": "5"})]
-    job = config_tables(spark, tables, step_rows(steps=SAMPLE_STEPS[:2]), [function_row()]).load("fraud")
+    tables = [job_row(warehouse=tmp_path, **{"changelog-producer": "input"})]
+    job = config_tables(spark, tables, step_rows(steps=SAMPLE_STEPS[:2]), [function_row()]).load("sensors")
     for message in SAMPLE_MESSAGES[:2] + SAMPLE_MESSAGES[4:]:
         out = run_batch(spark, job, spark.createDataFrame([(message,)], "value string"))
-    assert sorted((r.user_id, r.amount) for r in out.collect()) == [(1, 100.0), (4, 50.0)]
+    assert sorted((r.sensor_id, r.reading) for r in out.collect()) == [(1, 100.0), (4, 50.0)]
     assert spark.read.parquet(table_of(spark, job).changelog_path).count() == 3
 
 
 def test_required_fields_and_bad_records(spark, config):
-    job = config.load("fraud")
-    scorers = {"fraud-detect-v1": fraud_scorer()}
+    job = config.load("sensors")
+    scorers = {"rate-reading": rating_scorer()}
     broken = spark.createDataFrame([("{bad",), (SAMPLE_MESSAGES[0],)], "value string")
     with pytest.raises(Exception, match="malformed"):
         batch_result(job, broken, scorers).collect()
     assert batch_result(job, broken, scorers, on_bad_record="drop").count() == 1
-    nobody = spark.createDataFrame([('{"user_id":null,"amount":5,"event_time":"2024-01-01T10:00:04"}',)], "value string")
+    nobody = spark.createDataFrame([('{"sensor_id":null,"reading":5,"measured_at":"2024-01-01T10:00:04"}',)], "value string")
     with pytest.raises(Exception, match="NOT NULL"):
         batch_result(job, nobody, scorers).collect()
 
@@ -128,22 +129,24 @@ def test_a_chain_takes_any_function(spark):
 
 
 def test_append_without_a_key(spark, tmp_path):
-    schema = {k: v for k, v in SAMPLE_SCHEMA.items() if k != "primaryKeys"} | {"partitionKeys": ["merchant"]}
+    schema = {k: v for k, v in SAMPLE_SCHEMA.items() if k != "primaryKeys"} | {"partitionKeys": ["site"]}
     job = JobSpec("append", TableSchema.from_json(schema), lake=LakeSpec(str(tmp_path)))
     messages = spark.createDataFrame([(m,) for m in SAMPLE_MESSAGES], "value string")
     assert run_batch(spark, job, messages).count() == 5
     assert run_batch(spark, job, messages).count() == 10
-    assert (tmp_path / "default.db" / "transactions_enriched" / "merchant=shop").is_dir()
+    assert len(list((tmp_path / "default.db" / "readings_rated").glob("_run=*/_batch=0/_p_site=vNorth"))) == 2
+    again = [run_batch(spark, job, messages, batch_id=1, run_id="again").count() for _ in range(2)]
+    assert again == [15, 15]
 
 
 def test_registered_table(spark, config, tmp_path):
-    job = config.load("fraud")
+    job = config.load("sensors")
     name = ensure_table(spark, job)
     table = table_of(spark, job, name)
-    rows = spark.createDataFrame([(1, 5.0, "A", AT, True, 0.5)], "user_id bigint, amount double, merchant string, event_time timestamp_ntz, is_fraud boolean, fraud_score double")
+    rows = spark.createDataFrame([(1, 5.0, "A", AT, True, 0.5)], "sensor_id bigint, reading double, site string, measured_at timestamp_ntz, alarm boolean, severity double")
     table.upsert(rows, 0)
-    table.upsert(rows.withColumn("amount", F.lit(6.0)), 1)
-    assert [r.amount for r in spark.table(name).collect()] == [6.0]
+    table.upsert(rows.withColumn("reading", F.lit(6.0)), 1)
+    assert [r.reading for r in spark.table(name).collect()] == [6.0]
     assert ensure_table(spark, job) == name
     spark.sql(f"DROP TABLE {name}")
 
@@ -152,46 +155,46 @@ def test_registered_table(spark, config, tmp_path):
 
 
 def test_stream_restarts_without_duplicates(spark, config, tmp_path):
-    source, scorers = tmp_path / "in", {"fraud-detect-v1": fraud_scorer()}
+    source, scorers = tmp_path / "in", {"rate-reading": rating_scorer()}
 
     def run():
         query = run_job(
-            spark, "fraud", config, str(tmp_path / "ck"), source=read_files(spark, str(source), streaming=True), scorers=scorers, trigger=ONCE
+            spark, "sensors", config, str(tmp_path / "ck"), source=read_files(spark, str(source), streaming=True), scorers=scorers, trigger=ONCE
         )
         query.awaitTermination()
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
     put(source, "a.txt", *SAMPLE_MESSAGES)
     run()
-    job = config.load("fraud")
-    assert table_rows(spark, job) == [(1, 100.0, "SHOP", False, 0.1), (4, 50.0, "", False, 0.05)]
+    job = config.load("sensors")
+    assert table_rows(spark, job) == [(1, 100.0, "north", False, 0.1), (4, 50.0, "", False, 0.05)]
     run()
     assert len(table_rows(spark, job)) == 2
-    put(source, "b.txt", '{"user_id":4,"amount":700,"merchant":"m","event_time":"2024-01-01T10:00:03"}')
+    put(source, "b.txt", '{"sensor_id":4,"reading":700,"site":"Mid","measured_at":"2024-01-01T10:00:03"}')
     run()
-    assert table_rows(spark, job) == [(1, 100.0, "SHOP", False, 0.1), (4, 700.0, "M", True, 0.7)]
+    assert table_rows(spark, job) == [(1, 100.0, "north", False, 0.1), (4, 700.0, "mid", True, 0.7)]
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_stream_equals_batch(spark, events, tmp_path):
-    message = F.struct("user_id", F.col("value").alias("amount"), F.col("event_type").alias("merchant"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_time"))
+    message = F.struct(F.col("user_id").alias("sensor_id"), F.col("value").alias("reading"), F.col("event_type").alias("site"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("measured_at"))
     events.repartition(3).select(F.to_json(message).alias("value")).write.text(str(tmp_path / "in"))
     steps = tuple(StepSpec(kind, rule) for kind, _, rule in SAMPLE_STEPS[:2])
     job = JobSpec("equal", TableSchema.from_json(SAMPLE_SCHEMA), lake=LakeSpec(str(tmp_path / "wh")), steps=steps)
     stream = read_files(spark, str(tmp_path / "in"), streaming=True, ordered=False, maxFilesPerTrigger="1")
     run_stream(spark, job, str(tmp_path / "ck"), source=stream, trigger=ONCE).awaitTermination()
     got, expected = table_of(spark, job).read(), batch_result(job, read_files(spark, str(tmp_path / "in")))
-    assert got.count() == 1000 and got.exceptAll(expected).isEmpty()
+    assert got.count() == expected.count() > 900 and got.exceptAll(expected).isEmpty()
 
 
 def test_append_stream(spark, tmp_path):
     put(tmp_path / "in", "a.txt", *SAMPLE_MESSAGES, "{bad")
-    schema = {k: v for k, v in SAMPLE_SCHEMA.items() if k != "primaryKeys"} | {"partitionKeys": ["merchant"]}
+    schema = {k: v for k, v in SAMPLE_SCHEMA.items() if k != "primaryKeys"} | {"partitionKeys": ["site"]}
     job = JobSpec("append", TableSchema.from_json(schema), lake=LakeSpec(str(tmp_path / "wh")))
     source = read_files(spark, str(tmp_path / "in"), streaming=True)
     for _ in range(2):
         run_stream(spark, job, str(tmp_path / "ck"), source=source, trigger=ONCE, on_bad_record="quarantine").awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "wh/default.db/transactions_enriched")).count() == 5
+    assert spark.read.parquet(str(tmp_path / "wh/default.db/readings_rated")).count() == 5
     start_quarantine(spark, job, source, str(tmp_path / "bad"), str(tmp_path / "ck2"), ONCE).awaitTermination()
     assert [r.value for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["{bad"]
 
@@ -201,31 +204,31 @@ def window_job(tmp_path, **rest):
         {
             "table": "sums",
             "fields": [
-                {"name": "user_id", "type": "LONG"},
-                {"name": "amount", "type": "DOUBLE"},
-                {"name": "event_time", "type": "TIMESTAMP"},
+                {"name": "sensor_id", "type": "LONG"},
+                {"name": "reading", "type": "DOUBLE"},
+                {"name": "measured_at", "type": "TIMESTAMP"},
                 {"name": "total", "type": "DOUBLE"},
                 {"name": "n", "type": "LONG"},
                 {"name": "window_start", "type": "TIMESTAMP"},
             ],
         }
     )
-    rule = {"key_fields": ["user_id"], "aggregations": [{"output": "total", "op": "sum", "input": "amount"}, {"output": "n", "op": "count"}], **rest}
+    rule = {"key_fields": ["sensor_id"], "aggregations": [{"output": "total", "op": "sum", "input": "reading"}, {"output": "n", "op": "count"}], **rest}
     return JobSpec("windows", schema, lake=LakeSpec(str(tmp_path / "wh")), steps=(StepSpec("aggregate", rule),))
 
 
 def messages(*rows):
-    return ['{"user_id":%d,"amount":%s,"event_time":"2024-01-01T%s"}' % r for r in rows]
+    return ['{"sensor_id":%d,"reading":%s,"measured_at":"2024-01-01T%s"}' % r for r in rows]
 
 
 def emitted(spark, tmp_path):
     df = spark.read.parquet(str(tmp_path / "wh/default.db/sums"))
-    return sorted((r.user_id, r.total, r.n, r.window_start and r.window_start.strftime("%H:%M:%S")) for r in df.collect())
+    return sorted((r.sensor_id, r.total, r.n, r.window_start and r.window_start.strftime("%H:%M:%S")) for r in df.collect())
 
 
 @pytest.mark.parametrize("window", [{"sizeSeconds": 60}, {"type": "session", "gapSeconds": 30}, {"type": "sliding", "sizeSeconds": 60, "slideSeconds": 120}])
-def test_event_time_windows_drop_late_rows(spark, tmp_path, window):
-    job = window_job(tmp_path, time_field="event_time", window=window, emit_window=True)
+def test_measured_at_windows_drop_late_rows(spark, tmp_path, window):
+    job = window_job(tmp_path, time_field="measured_at", window=window, emit_window=True, watermark="0 seconds")
     source = tmp_path / "in"
 
     def run(name, *rows):
@@ -256,18 +259,18 @@ def test_rules_are_read_again_for_each_batch(spark, tmp_path):
     state = {"least": 0}
 
     def load(session):
-        rule = '{"conditions":[{"field":"amount","op":"gt","value":%d}]}' % state["least"]
+        rule = '{"conditions":[{"field":"reading","op":"gt","value":%d}]}' % state["least"]
         return config_tables(session, [job_row(warehouse=tmp_path / "wh")], step_rows(steps=[("filter", None, rule)]), [function_row()])
 
     def run(name, *rows):
         put(tmp_path / "in", name, *messages(*rows))
         stream = read_files(spark, str(tmp_path / "in"), streaming=True)
-        run_reloading(spark, "fraud", load, stream, str(tmp_path / "ck"), trigger=ONCE).awaitTermination()
+        run_reloading(spark, "sensors", load, stream, str(tmp_path / "ck"), trigger=ONCE).awaitTermination()
 
     run("a.txt", (1, 5, "10:00:00"))
     state["least"] = 10
     run("b.txt", (2, 5, "10:00:00"), (3, 15, "10:00:00"))
-    assert [r[0] for r in table_rows(spark, load(spark).load("fraud"))] == [1, 3]
+    assert [r[0] for r in table_rows(spark, load(spark).load("sensors"))] == [1, 3]
 
 
 def test_second_aggregation_on_a_stream(spark, tmp_path):
@@ -275,16 +278,16 @@ def test_second_aggregation_on_a_stream(spark, tmp_path):
         {
             "table": "sums",
             "fields": [
-                {"name": "user_id", "type": "LONG"},
-                {"name": "amount", "type": "DOUBLE"},
-                {"name": "event_time", "type": "TIMESTAMP"},
+                {"name": "sensor_id", "type": "LONG"},
+                {"name": "reading", "type": "DOUBLE"},
+                {"name": "measured_at", "type": "TIMESTAMP"},
                 {"name": "total", "type": "DOUBLE"},
                 {"name": "n", "type": "LONG"},
                 {"name": "window_start", "type": "TIMESTAMP"},
             ],
         }
     )
-    minute = {"key_fields": ["user_id"], "time_field": "event_time", "window": {"sizeSeconds": 60}, "aggregations": [{"output": "total", "op": "sum", "input": "amount"}]}
+    minute = {"key_fields": ["sensor_id"], "time_field": "measured_at", "watermark": "0 seconds", "window": {"sizeSeconds": 60}, "aggregations": [{"output": "total", "op": "sum", "input": "reading"}]}
     hour = {"window": {"sizeSeconds": 3600}, "emit_window": True, "aggregations": [{"output": "total", "op": "max", "input": "total"}, {"output": "n", "op": "count"}]}
     job = JobSpec("twice", schema, lake=LakeSpec(str(tmp_path / "wh")), steps=(StepSpec("aggregate", minute), StepSpec("aggregate", hour)))
     put(tmp_path / "in", "a.txt", *messages((1, 5, "10:00:10"), (1, 6, "10:00:20"), (2, 1, "10:00:30"), (1, 2, "10:30:00")))
@@ -301,12 +304,12 @@ def test_second_aggregation_on_a_stream(spark, tmp_path):
 
 
 def test_lookup_and_dedup_on_a_stream(spark, tmp_path):
-    schema = TableSchema.from_json({"table": "t", "fields": [{"name": "user_id", "type": "LONG"}, {"name": "amount", "type": "DOUBLE"}, {"name": "event_time", "type": "TIMESTAMP"}]})
+    schema = TableSchema.from_json({"table": "t", "fields": [{"name": "sensor_id", "type": "LONG"}, {"name": "reading", "type": "DOUBLE"}, {"name": "measured_at", "type": "TIMESTAMP"}]})
     put(tmp_path / "in", "a.txt", *messages((1, 5, "10:00:10"), (1, 5, "10:00:12"), (2, 1, "10:00:30")))
     stream = decode_json(read_files(spark, str(tmp_path / "in"), streaming=True, ordered=False), schema)
-    names = spark.createDataFrame([(1, "one")], "user_id bigint, name string")
-    out = lookup_enrich(dedup(stream, ["user_id"], "event_time", "1 minute"), names, ["user_id"], ["name"])
-    assert dict(out.dtypes)["event_time"] == "timestamp_ntz"
-    query = out.select("user_id", "name").writeStream.format("memory").queryName("looked_up").trigger(availableNow=True).start()
+    names = spark.createDataFrame([(1, "one")], "sensor_id bigint, name string")
+    out = lookup_enrich(dedup(stream, ["sensor_id"], "measured_at", "1 minute"), names, ["sensor_id"], ["name"])
+    assert dict(out.dtypes)["measured_at"] == "timestamp_ntz"
+    query = out.select("sensor_id", "name").writeStream.format("memory").queryName("looked_up").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(map(tuple, spark.table("looked_up").collect())) == [(1, "one"), (2, None)]

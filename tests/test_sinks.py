@@ -66,7 +66,7 @@ def test_a_run_that_died_while_publishing_goes_on_from_staging(spark, tmp_path,
     with pytest.raises(RuntimeError):
         target.upsert(update, 7, "run")
     monkeypatch.undo()
-    assert state(target) == []
+    assert state(target) == [("2024-01-01", 1, 5.0), ("2024-01-01", 2, 2.0)]  # readers see the folder in staging
     target.recover()
     assert state(target) == [("2024-01-01", 1, 5.0), ("2024-01-01", 2, 2.0)]
 
@@ -83,34 +83,6 @@ def test_an_upsert_first_finishes_an_interrupted_one(spark, tmp_path, monkeypatc
     assert state(target) == [("2024-01-01", 1, 1.0), ("2024-01-02", 2, 7.0)]
 
 
-def test_deltas_are_read_over_the_folders_and_folded_in(spark, tmp_path, monkeypatch):
-    target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA, buckets=2, compact_every=3)
-    expected, folders = {}, []
-    for batch in range(7):
-        update = [("2024-01-01", 0, float(batch), 1), ("2024-01-02", batch, float(batch), 1)]
-        for _ in range(2 if batch == 4 else 1):  # batch 4 is delivered twice
-            target.upsert(rows(spark, *update), batch, "run", order_by=["seq"])
-        expected.update({(d, i): v for d, i, v, _ in update})
-        assert state(target) == sorted((d, i, v) for (d, i), v in expected.items())
-        folders.append(len(target._deltas()))
-    assert folders == [1, 2, 0, 1, 2, 0, 1]
-    monkeypatch.setattr(keyed, "remove_path", lambda *_: (_ for _ in ()).throw(RuntimeError("driver lost")))
-    with pytest.raises(RuntimeError):
-        target.compact()  # folded in, but the deltas are still there
-    monkeypatch.undo()
-    assert len(target._deltas()) == 1
-    target.recover()
-    target.compact()
-    assert target._deltas() == [] and state(target) == sorted((d, i, v) for (d, i), v in expected.items())
-
-
-def test_deltas_of_an_earlier_setting_are_folded_before_new_rows(spark, tmp_path):
-    KeyedTable(spark, str(tmp_path / "t"), SCHEMA, compact_every=9).upsert(rows(spark, ("2024-01-01", 1, 1.0, 1)), 0)
-    target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA)
-    target.upsert(rows(spark, ("2024-01-01", 1, 2.0, 1)), 1)
-    assert state(target) == [("2024-01-01", 1, 2.0)] and target._deltas() == []
-
-
 def test_empty_batches_and_an_empty_table(spark, tmp_path):
     target = KeyedTable(spark, str(tmp_path / "t"), SCHEMA)
     assert target.read().count() == 0
@@ -208,3 +180,34 @@ def test_dedup(spark):
     assert dedup(df, ["k"]).count() == 3
     with pytest.raises(ConfigError):
         dedup(df, ["missing"])
+
+
+def test_two_keys_in_one_folder_of_an_empty_text(spark, tmp_path):
+    fields = [{"name": "kind", "type": "STRING"}, {"name": "id", "type": "LONG"}]
+    schema = TableSchema.from_json({"table": "t", "fields": fields, "primaryKeys": ["kind", "id"], "partitionKeys": ["kind"]})
+    target = KeyedTable(spark, str(tmp_path / "t"), schema, buckets=1)
+    for k in (1, 2):
+        target.upsert(spark.createDataFrame([("", k)], "kind string, id bigint"), k)
+    assert sorted(map(tuple, target.read().collect())) == [("", 1), ("", 2)]
+
+
+def test_the_bucket_count_is_kept(spark, tmp_path):
+    KeyedTable(spark, str(tmp_path / "t"), SCHEMA, buckets=4).upsert(rows(spark, ("2024-01-01", 1, 1.0, 1)), 0)
+    with pytest.raises(ConfigError, match="4 buckets"):
+        KeyedTable(spark, str(tmp_path / "t"), SCHEMA, buckets=7).upsert(rows(spark, ("2024-01-01", 1, 2.0, 1)), 1)
+
+
+def test_a_lower_sequence_changes_nothing(spark, tmp_path):
+    fields = [{"name": "id", "type": "LONG"}, {"name": "seq", "type": "LONG"}]
+    schema = TableSchema.from_json({"table": "t", "fields": fields, "primaryKeys": ["id"]})
+    target = KeyedTable(spark, str(tmp_path / "t"), schema, buckets=1, sequence=("seq",))
+    for batch, seq in enumerate((5, 3, 5)):
+        target.upsert(spark.createDataFrame([(1, seq)], "id bigint, seq bigint"), batch, order_by=["seq"])
+    assert target.read().first().seq == 5
+    with pytest.raises(ConfigError):
+        KeyedTable(spark, "x", schema, sequence=("other",))
+
+
+def test_unknown_word_for_nulls(spark, tmp_path):
+    with pytest.raises(ConfigError, match="unknown word"):
+        KeyedTable(spark, str(tmp_path / "t"), SCHEMA).upsert(rows(spark, ("2024-01-01", 1, 1.0, 1)), 0, on_null="quarantne")
