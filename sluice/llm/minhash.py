@@ -38,7 +38,7 @@ class MinHash:
     bands: int = 35
     rows: int = 5
     bins: int = 2048
-    bits: int = 1024
+    bits: int = 2048
 
     @property
     def samples(self) -> int:
