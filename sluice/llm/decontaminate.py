@@ -1,7 +1,7 @@
 """Benchmark decontamination on templates, so that questions with other numbers and names are found too.
 
 A text becomes a sequence of tokens in which every number, name (a run of capitalised words) and unit after a number is a
-typed placeholder. Windows of eight tokens are joined by hash with those of the benchmark. Along one alignment of a document
+typed placeholder, and a second one of plain words without regard to case. Windows of eight tokens are joined by hash with those of the benchmark. Along one alignment of a document
 and an item the placeholders must agree: each value of the item stands for one value of the document throughout; windows
 with a value that does not are left out. A document is contaminated by an item if what is left covers 13 tokens in a row
 (or the whole of a shorter item), or half of the item's windows.
@@ -62,7 +62,7 @@ _UNIT_HASHES = np.array(sorted(_word_hash(w) for w in UNITS), np.uint64)
 class _Tokens:
     """Template tokens of a slice: hash, byte span, whether a placeholder, and the first token of each row."""
 
-    def __init__(self, part: Slice):
+    def __init__(self, part: Slice, plain: bool):
         kind = _CLASS[part.data]
         n = len(kind)
         if n > 2:
@@ -75,9 +75,11 @@ class _Tokens:
         ends = change[group[change] > 0]
         h = hashing.hashes(hashing.sums(part.data, True), starts, ends)
         number = group[starts + 1] == 2
+        if plain:
+            number = np.zeros(len(starts), bool)
         two = np.append(part.data, [0])[starts + 1]
         accented = (part.data[starts] == 0xC3) & (two >= 0x80) & (two <= 0x9E) if n else np.zeros(0, bool)
-        name = (kind[starts] == _UPPER) | accented
+        name = np.zeros(len(starts), bool) if plain else (kind[starts] == _UPPER) | accented
         row = np.searchsorted(part.starts, starts, "right") - 1
         after = np.zeros(len(starts), bool)  # whether the token before is of the same row
         after[1:] = row[1:] == row[:-1]
@@ -92,17 +94,16 @@ class _Tokens:
         self.first = np.searchsorted(row[keep], np.arange(len(part.starts) + 1))
 
 
-def _windows(tokens: _Tokens, rows: int, width: int, how: Templates) -> tuple[np.ndarray, np.ndarray]:
+def _windows(tokens: _Tokens, width: int, plain: bool, how: Templates) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all windows of ``width`` tokens, by first token, and which are inside a row and have enough literals."""
     n = len(tokens.hash) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, bool)
-    h = np.full(n, width, np.uint64)
+    h = np.full(n, 2 * width + plain, np.uint64)
     literals = np.zeros(n, np.int16)
     for j in range(width):
         h = h * _ROLL + tokens.hash[j : n + j]
         literals += ~tokens.slot[j : n + j]
-    inside = np.zeros(n + width, np.int8)
     lengths = np.diff(tokens.first)
     row_end = np.repeat(tokens.first[1:], lengths)[:n]
     inside = np.arange(n) + width <= row_end
@@ -112,6 +113,7 @@ def _windows(tokens: _Tokens, rows: int, width: int, how: Templates) -> tuple[np
 _FOUND = pa.schema(
     [
         ("id", pa.int64()),
+        ("plain", pa.bool_()),
         ("width", pa.int32()),
         ("window", pa.int64()),
         ("at", pa.int32()),
@@ -119,7 +121,7 @@ _FOUND = pa.schema(
         ("slots", pa.list_(pa.string())),
     ]
 )
-_FOUND_SQL = "id long, width int, window long, at int, n_tokens int, slots array<string>"
+_FOUND_SQL = "id long, plain boolean, width int, window long, at int, n_tokens int, slots array<string>"
 
 
 def _found(batches: Iterable[pa.RecordBatch], widths: list[int] | None, wanted, how: Templates) -> Iterator[pa.RecordBatch]:
@@ -129,13 +131,13 @@ def _found(batches: Iterable[pa.RecordBatch], widths: list[int] | None, wanted,
         marks = np.zeros(1 << 22, bool)
         marks[(hashes >> np.uint64(42)).astype(np.int64)] = True
     for batch in batches:
-        for part in slices(batch.column(1), gap=10):
-            tokens = _Tokens(part)
+        for part, plain in ((p, plain) for p in slices(batch.column(1), gap=10) for plain in (False, True)):
+            tokens = _Tokens(part, plain)
             ids = batch.column(0).slice(part.first, len(part.starts)).to_pylist()
             lengths = np.diff(tokens.first)
             row = np.repeat(np.arange(len(lengths)), lengths)
             for width in widths if widths is not None else range(1, how.window + 1):
-                h, fits = _windows(tokens, len(lengths), width, how)
+                h, fits = _windows(tokens, width, plain, how)
                 if hashes is not None:
                     at = np.flatnonzero(fits & marks[(h >> np.uint64(42)).astype(np.int64)])
                     at = at[np.isin(h[at], hashes)]
@@ -149,7 +151,7 @@ def _found(batches: Iterable[pa.RecordBatch], widths: list[int] | None, wanted,
                         spans = [i for i in range(k, k + width) if tokens.slot[i]]
                         text = [part.data[tokens.start[i] : tokens.end[i]].tobytes().decode("utf-8", "replace") for i in spans]
                         rows.append(
-                            {"id": ids[r], "width": width, "window": int(h[k].view(np.int64)), "at": k - int(tokens.first[r]),
+                            {"id": ids[r], "plain": plain, "width": width, "window": int(h[k].view(np.int64)), "at": k - int(tokens.first[r]),
                              "n_tokens": int(lengths[r]), "slots": text}
                         )
                     yield pa.RecordBatch.from_pylist(rows, _FOUND)
@@ -189,13 +191,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Templates = Templat
         hits = found if hits is None else hits.unionByName(found)
     hits = written(hits, "template-hits")
     side = items.select(
-        "width", "window", F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("n_tokens").alias("item_tokens")
+        "plain", "width", "window", F.col("id").alias("item_id"), F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("n_tokens").alias("item_tokens")
     )
-    total = items.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("n_windows"))
-    joined = hits.join(side, ["width", "window"])
+    total = items.groupBy(F.col("id").alias("item_id"), "plain").agg(F.count_distinct("at").alias("n_windows"))
+    joined = hits.join(side, ["plain", "width", "window"])
     pair = F.arrays_zip(F.col("item_slots").alias("b"), F.col("slots").alias("d"))
     lined = joined.groupBy(
-        F.col("id").alias("doc_id"), "item_id", "item_tokens", "width", (F.col("at") - F.col("item_at")).alias("shift")
+        F.col("id").alias("doc_id"), "item_id", "plain", "item_tokens", "width", (F.col("at") - F.col("item_at")).alias("shift")
     ).agg(F.collect_set(F.struct(F.col("item_at").alias("at"), pair.alias("pairs"))).alias("found"))  # an item's windows at most
 
     def consistent(found: Column) -> Column:
@@ -219,23 +221,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, how: Templates = Templat
 
     changed = F.exists("found", lambda w: F.exists(w["pairs"], lambda s: s["b"] != s["d"]))
     runs = lined.select(
-        "doc_id", "item_id", "item_tokens", "width", changed.alias("changed"), consistent(F.col("found")).alias("held")
+        "doc_id", "item_id", "plain", "item_tokens", "width", changed.alias("changed"), consistent(F.col("found")).alias("held")
     ).withColumn("run", _longest(F.col("held")))
     per_item = (
-        runs.select("doc_id", "item_id", "item_tokens", "width", "changed", "run", F.explode("held").alias("at"))
-        .groupBy("doc_id", "item_id")
+        runs.select("doc_id", "item_id", "plain", "item_tokens", "width", "changed", "run", F.explode("held").alias("at"))
+        .groupBy("doc_id", "item_id", "plain")
         .agg(
             F.count_distinct("at").alias("matched"),
             (F.max("run") + F.first("width") - 1).cast("long").alias("run_tokens"),
             F.first("item_tokens").alias("item_tokens"),
             F.min("changed").alias("changed"),
         )
-        .join(total, "item_id")
+        .join(total, ["item_id", "plain"])
     )
     enough = (F.col("run_tokens") >= F.least(F.lit(how.run), F.col("item_tokens"))) | (
         100 * F.col("matched") >= how.percent * F.col("n_windows")
     )
-    return per_item.filter(enough).select("doc_id", "item_id", "matched", "n_windows", "run_tokens", "changed")
+    best = F.max(F.struct("run_tokens", "matched", "n_windows")).alias("best")
+    pairs = per_item.filter(enough).groupBy("doc_id", "item_id").agg(best, F.min("changed").alias("changed"))
+    return pairs.select("doc_id", "item_id", "best.matched", "best.n_windows", "best.run_tokens", "changed")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, how: Templates = Templates()) -> DataFrame:

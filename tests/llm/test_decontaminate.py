@@ -36,6 +36,8 @@ def test_passages_of_the_benchmark(spark, given):
         ("Intro here. " + QUESTION.replace("Alice", "Mary Jane").replace("12", "31").replace("5", "9").replace("Bob", "Carl") + " and more", True),
         (QUESTION.replace("12 dollars", "1,250.75 miles").replace("12 apples", "1,250.75 apples"), True),
         (QUESTION.replace("12 apples", "31 apples").replace("12 dollars", "44 dollars"), False),  # one value stands for two
+        (QUESTION.lower(), True),
+        (QUESTION.upper(), True),
         (" ".join(QUESTION.split()[:7]) + " nothing else of it", False),
         ("Completely other words with 12 apples and 5 days in them for Bob and Alice who paid nothing at all today", False),
     ],
