@@ -21,6 +21,8 @@ GAP = r"[\x20\x09-\x0D]+"
 def prepare(spark: SparkSession) -> None:
     """Session settings and the package's code on the workers."""
     apply_conf(spark)
+    # Rows of texts vary in size by thousands of times, so batches to Python are bounded in bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     ship_package(spark)
 
 
@@ -40,6 +42,17 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Keys that a task may hold as a whole (some ten megabytes); with more, both sides of a join are shuffled.
+MOST_BROADCAST = 1 << 20
+
+
+def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` with a ``key`` (a long) among the distinct ``ids``, which are written: counted first, and sent to all
+    tasks only if there are few."""
+    few = ids.count() <= MOST_BROADCAST
+    return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once: inside lambdas Catalyst may inline it otherwise."""
     return F.transform(F.array(value), body)[0]

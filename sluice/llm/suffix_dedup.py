@@ -216,6 +216,12 @@ def _pack(batches: Iterable[pa.RecordBatch], most: int) -> Iterator[pa.RecordBat
 _BATCH = "batch long, ids array<long>, sizes array<long>, packed binary"
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row at a time, since each is a batch of documents."""
+    for at in range(batch.num_rows):
+        yield {name: batch.column(name)[at].as_py() for name in batch.schema.names}
+
+
 class _Anchored:
     """A batch with its runs: strings that start one after another and have one anchor. All in a fixed order."""
 
@@ -260,7 +266,7 @@ class _Anchored:
 
     def contexts(self, masks: dict[int, bytes], buckets: int, shards: int):
         """Runs whose anchor is marked, and their distinct contexts: (runs, context of each, shard, first, end, least id)."""
-        bucket = _part(self.anchors >> np.uint64(48), buckets)
+        bucket = _part(self.anchors >> np.uint64(32), buckets)
         marked = np.zeros(len(self.anchors), bool)
         for b, n in zip(*np.unique(bucket, return_counts=True), strict=True):
             begin = np.searchsorted(bucket, b)
@@ -268,7 +274,7 @@ class _Anchored:
                 marked[begin : begin + n] = np.unpackbits(np.frombuffer(masks[b], np.uint8), count=n).astype(bool)
         runs = np.flatnonzero(marked[self.anchor_of])
         begin, end = self.first[runs], self.first[runs] + self.count[runs] + LENGTH - 1
-        shard = _part(self.hash[runs] & np.uint64(0xFFFF), shards)
+        shard = _part(self.hash[runs] & np.uint64(0xFFFFFFFF), shards)
         key = np.rec.fromarrays([shard, self.hash[runs], hashing.hashes(self.running, begin, end), end - begin])
         order = np.lexsort((key.f3, key.f2, key.f1, key.f0))
         key = key[order]
@@ -283,24 +289,25 @@ class _Anchored:
 
 
 def _part(bits: np.ndarray, parts: int) -> np.ndarray:
-    """Sixteen bits as one of ``parts`` ranges."""
-    return ((bits * np.uint64(parts)) >> np.uint64(16)).astype(np.int64)
+    """Thirty-two bits as one of ``parts`` ranges, in order."""
+    return ((bits * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 def _send_anchors(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             found = _Anchored(row)
             code = (found.anchors << np.uint64(1)) | found.shared_in_batch().astype(np.uint64)
             flat = np.ascontiguousarray(code.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :_CODE_BYTES]
-            bucket = _part(found.anchors >> np.uint64(48), buckets)
-            cut = np.searchsorted(bucket, np.arange(buckets + 1))
-            some = [b for b in range(buckets) if cut[b] < cut[b + 1]]
+            bucket = _part(found.anchors >> np.uint64(32), buckets)
+            some, first = np.unique(bucket, return_index=True)
+            cut = dict(zip(some.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(bucket)])))
+            some = list(cut)
             yield pa.record_batch(
                 [
                     pa.array(some, pa.int32()),
                     pa.array([row["batch"]] * len(some), pa.int64()),
-                    pa.array([flat[cut[b] : cut[b + 1]].tobytes() for b in some], pa.binary()),
+                    pa.array([flat[slice(*cut[b])].tobytes() for b in some], pa.binary()),
                 ],
                 names=["bucket", "batch", "codes"],
             )
@@ -335,14 +342,12 @@ def _masks(row: dict) -> dict[int, bytes]:
 
 def _send_contexts(batches: Iterable[pa.RecordBatch], buckets: int, shards: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             found = _Anchored(row)
             _, _, shard, begin, end, least = found.contexts(_masks(row), buckets, shards)
-            cut = np.searchsorted(shard, np.arange(shards + 1))
-            some = [s for s in range(shards) if cut[s] < cut[s + 1]]
+            some, first = np.unique(shard, return_index=True)
             texts, sizes, docs = [], [], []
-            for s in some:
-                own = slice(cut[s], cut[s + 1])
+            for own in map(slice, first.tolist(), [*first[1:].tolist(), len(shard)]):
                 length = end[own] - begin[own]
                 source = np.repeat(begin[own] - (np.cumsum(length) - length), length) + np.arange(length.sum())
                 texts.append(pa.compress(found.data[source].tobytes(), codec="zstd", asbytes=True))
@@ -350,7 +355,7 @@ def _send_contexts(batches: Iterable[pa.RecordBatch], buckets: int, shards: int)
                 docs.append(least[own].tobytes())
             yield pa.record_batch(
                 [
-                    pa.array(some, pa.int32()),
+                    pa.array(some.astype(np.int32)),
                     pa.array([row["batch"]] * len(some), pa.int64()),
                     pa.array(sizes, pa.binary()),
                     pa.array(docs, pa.binary()),
@@ -407,7 +412,7 @@ _CUT_ARROW = pa.schema(
 
 def _cut_out(batches: Iterable[pa.RecordBatch], buckets: int, shards: int, texts: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in _rows(batch):
             found = _Anchored(row)
             runs, of, shard, _, _, least = found.contexts(_masks(row), buckets, shards)
             flags = np.zeros(len(shard), np.uint32)
@@ -444,7 +449,7 @@ def _cut_out(batches: Iterable[pa.RecordBatch], buckets: int, shards: int, texts
 
 
 def remove_repeats(
-    docs: DataFrame, texts: bool = True, batch_bytes: int = 4 << 20, part_bytes: int = 8 << 20, array_bytes: int = 8 << 20
+    docs: DataFrame, texts: bool = True, batch_bytes: int = 1 << 20, part_bytes: int = 2 << 20, array_bytes: int = 4 << 20
 ) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, spans (start, end in bytes), kept_sha256 and, with
     ``texts``, the bytes kept.
@@ -461,7 +466,7 @@ def remove_repeats(
     copies = digests.join(several.filter("m > 1").select("digest", "first"), "digest").filter("doc_id > first")
     copies = written(copies.select("doc_id", F.col("n").cast("long").alias("n_bytes"), "digest"), "copies")
     total = digests.agg(F.sum("n")).first()[0] or 0
-    parts = min(1 << 14, max(8, math.ceil(total / part_bytes)))
+    parts = min(1 << 31, max(8, math.ceil(total / part_bytes)))
     repeated = copies.select("doc_id", "digest").distinct()
     own = read.withColumn("digest", F.unhex(F.sha2("text", 256))).join(repeated, ["doc_id", "digest"], "left_anti")
     packed = written(own.select("doc_id", "text").mapInArrow(lambda b: _pack(b, batch_bytes), _BATCH), "batches")
