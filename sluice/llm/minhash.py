@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sluice.llm import hashing
-from sluice.llm.common import Slice, list_array, slices, written
+from sluice.llm.common import Slice, list_array, only, slices, written
 from sluice.llm.components import components
 
 
@@ -181,8 +181,7 @@ class _Search:
         shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("pivot")).filter("m > 1")
         self.members = written(keys.join(shared.select("bucket", "pivot"), "bucket"), "buckets")
         # The full sets of all documents that share a bucket, in one second pass over the texts.
-        ids = self.members.select(F.col("id").alias("doc_id")).distinct()
-        texts = read.join(ids, "doc_id", "left_semi")
+        texts = only(read, written(self.members.select(F.col("id").alias("doc_id")).distinct(), "ids"), "doc_id")
         self.sets = written(texts.mapInArrow(lambda b: _sets(b, how), "id long, shingles array<long>"), "sets")
         self.links: DataFrame | None = None
         self.labels: DataFrame | None = None

@@ -58,5 +58,5 @@ def test_odd_rows(spark, odd, nothing, given):
 
 
 def test_an_item_shorter_than_a_window(spark, given):
-    docs = spark.createDataFrame([(1, "so they asked why is the sky blue again"), (2, "why is the sea blue")], "doc_id long, text string")
+    docs = spark.createDataFrame([(1, "so they asked: Why is the sky blue? Again"), (2, "why is the sea blue")], "doc_id long, text string")
     assert caught(docs, bench(spark, "Why is the sky blue?")) == {(1, 0)}
