@@ -7,7 +7,8 @@ hot, brings more than one pre-aggregated row per key and time pane to a task:
 * sliding: aggregate once into panes, the stretches no window starts or ends in (at most two per
   slide), then spread the few pane rows over the windows that cover them, not every input row;
 * session: aggregate into panes as long as the gap. Rows of one pane are always in one session, so
-  sessions are found among pane rows, at most time span / gap of them per key.
+  sessions are found among pane rows, block by block of the time line, and joined over the borders of
+  blocks; a hot key, or none at all, is so spread over tasks.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from sluice.spec import AggregateRule, Aggregation, ConfigError
 # Carried through later steps so that a second aggregation can use this one's event time.
 WINDOW_COLUMN = "_window"
 _TIME = "_agg_time"
+# Sessions are found within stretches of so many gaps.
+_BLOCK_GAPS = 10_000
 
 
 def _number(a: Aggregation, nulls: str) -> Column:
@@ -184,14 +187,7 @@ def _session(df: DataFrame, rule: AggregateRule) -> DataFrame:
     interval = F.expr(f"INTERVAL {gap} SECONDS")
     pane = F.window(_TIME, _seconds(gap))["start"]
     keys = list(rule.key_fields)
-    ordered = Window.partitionBy(*_keys(rule)).orderBy("_pane")
-    seen = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    panes = (
-        _panes(df, rule, pane)
-        .withColumn("_prev", F.lag("_last").over(ordered))
-        .withColumn("_open", F.when(F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + interval), F.col("_first")))
-        .withColumn("_session", F.last("_open", ignorenulls=True).over(seen))
-    )
+    panes = _sessions_of(_panes(df, rule, pane), keys, interval, gap * _BLOCK_GAPS)
     sessions = panes.groupBy("_session", *_keys(rule)).agg(F.max("_last").alias("_last"), *_merge_columns(rule))
     for a in _distincts(rule):
         sessions = _null_safe_join(sessions, _session_distinct(df, panes, pane, a, keys), ["_session", *keys])
@@ -199,6 +195,38 @@ def _session(df: DataFrame, rule: AggregateRule) -> DataFrame:
     return sessions.select(bounds.alias(WINDOW_COLUMN), *_keys(rule), *(ref(a.output) for a in rule.aggregations))
 
 
+def _sessions_of(panes: DataFrame, keys: list[str], interval: Column, block_seconds: int) -> DataFrame:
+    """``panes`` with ``_session``, the start of the session they belong to.
+
+    The time line is cut into blocks. Sessions are found within the blocks of each key, and then only the blocks, one
+    row each, are put in order to join the sessions that go on over a border.
+    """
+    panes = panes.withColumn("_block", F.floor(F.unix_timestamp("_pane") / block_seconds))
+    own = [*(ref(k) for k in keys), F.col("_block")]
+    within = Window.partitionBy(*own).orderBy("_pane")
+    seen = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = (
+        panes.withColumn("_prev", F.lag("_last").over(within))
+        .withColumn("_open", F.when(F.col("_prev").isNull() | (F.col("_first") > F.col("_prev") + interval), F.col("_first")))
+        .withColumn("_start", F.last("_open", ignorenulls=True).over(seen))
+    )
+    blocks = local.groupBy(*own).agg(
+        F.min("_first").alias("_b_first"), F.max("_last").alias("_b_last"), F.max("_start").alias("_b_start")
+    )
+    along = Window.partitionBy(*(ref(k) for k in keys)).orderBy("_block")  # one row per block of the time line
+    so_far = along.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce(F.col("_b_first") <= F.lag("_b_last").over(along) + interval, F.lit(False))
+    blocks = (
+        blocks.withColumn("_on", goes_on)
+        .withColumn("_own", F.when(~F.col("_on") | (F.col("_b_start") != F.col("_b_first")), F.col("_b_start")))
+        .withColumn("_carried", F.when(F.col("_on"), F.last("_own", ignorenulls=True).over(so_far)))
+        .drop("_own", "_on", "_b_last", "_b_start")
+    )
+    joined = _null_safe_join(local, blocks, [*keys, "_block"])
+    carried = F.when(F.col("_start") == F.col("_b_first"), F.col("_carried"))
+    return joined.withColumn("_session", F.coalesce(carried, "_start")).drop("_block", "_prev", "_open", "_start", "_b_first", "_carried")
+
+
 def _session_distinct(df: DataFrame, panes: DataFrame, pane: Column, a: Aggregation, keys: list[str]) -> DataFrame:
     """Exact distinct count per session: distinct (pane, value) rows, then joined to their session."""
     value = ref(a.input).alias("_value")

@@ -110,4 +110,17 @@ def test_plans_combine_before_the_shuffle(rows):
     # the spread over windows comes after the panes are aggregated, not over the input rows
     assert sliding.index("Expand") < sliding.index("partial_count") and sliding.count("Exchange") == 2
     session = plan_of(aggregate_rows(rows, rule({"type": "session", "gapSeconds": 60})))
-    assert session.rindex("partial_sum") > session.rindex("Window [")
+    assert "partial_sum" in session.split("Window [", 1)[1]  # below the windows, over panes
+
+
+@pytest.mark.parametrize("keys", [["user_id"], []])
+def test_sessions_over_borders_of_blocks(events, monkeypatch, keys):
+    from sluice.operators import aggregate
+
+    rule = AggregateRule.from_json(
+        {"key_fields": keys, "time_field": "ts", "window": {"type": "session", "gapSeconds": 3600}, "emit_window": True,
+         "aggregations": [{"output": "n", "op": "count"}, {"output": "users", "op": "count_distinct", "input": "user_id"}]}
+    )
+    whole = sorted(map(tuple, aggregate_rows(events, rule).collect()))
+    monkeypatch.setattr(aggregate, "_BLOCK_GAPS", 2)
+    assert sorted(map(tuple, aggregate_rows(events, rule).collect())) == whole and len(whole) > (1 if keys else 0)
