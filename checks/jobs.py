@@ -375,5 +375,5 @@ def sink_not_null_quarantine(spark, sf):
     append_batch(job, rows, 0, "run", "quarantine")
     path = f"{job.lake.warehouse}/{job.lake.database}.db/appended"
     read = spark.read.schema(rows.schema)
-    kept = read.parquet(path).withColumn("rejected", F.lit(False))
-    return kept.unionByName(read.parquet(f"{path}__rejected").withColumn("rejected", F.lit(True)))
+    kept = read.parquet(path).select(*rows.columns, F.lit(False).alias("rejected"))
+    return kept.unionByName(read.parquet(f"{path}__rejected").select(*rows.columns, F.lit(True).alias("rejected")))

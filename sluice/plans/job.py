@@ -157,7 +157,7 @@ def run_batch(
         return table.read()
     path = ddl.table_path(job.lake, job.schema)
     append_batch(job, rows, batch_id, run_id, on_null)
-    return spark.read.schema(conform(rows, job.schema, "drop").schema).parquet(path)
+    return spark.read.schema(conform(rows, job.schema, "drop").schema).parquet(path).select(*(ref(n) for n in job.schema.names))
 
 
 def append_batch(job: JobSpec, rows: DataFrame, batch_id: int | str, run_id: str, on_null: str) -> None:
