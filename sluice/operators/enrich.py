@@ -36,8 +36,8 @@ def lookup_enrich(df: DataFrame, dim: DataFrame, on: Sequence[str] | dict[str, s
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()) -> DataFrame:
     """One whole row per key: the one with the highest ``order_by`` values.
 
-    An aggregate, not a sorted window: each task folds its own rows per key first, so a hot key reaches
-    the shuffle as one row per task. Equal order values are settled by the rest of the row, which
+    An aggregate (a sort aggregate, as its value is a struct) and no window: each task folds its own rows per key
+    first, so a hot key reaches the shuffle as one row per task. Equal order values are settled by the rest of the row, which
     makes the result repeatable.
     """
     if not set(df.columns) - set(keys):
