@@ -30,11 +30,12 @@ def components(links: DataFrame) -> DataFrame:
     The number of rounds grows with the logarithm of the longest path; each is written, so that no lineage builds up.
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
-    edges = written(edges, "links")
-    last = None
     while True:
         edges = written(_small_stars(_stars(edges)), "stars")
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 40)))).first()
-        if seen == last or not seen[0]:
+        # Done when every node hangs on one other, and that one on none.
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+        )
+        state = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if state.filter("up > 1 OR (up > 0 AND down > 0)").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        last = seen

@@ -232,7 +232,7 @@ class _Search:
             if not rest.isEmpty():
                 self.confirm(rest)
         done = self.members.filter("id = pivot").select("bucket", "id")
-        width = 1
+        width = 8
         while True:
             left = self.members.select("bucket", "id").join(done, ["bucket", "id"], "left_anti")
             named = self._named(left, "id")
@@ -253,15 +253,9 @@ class _Search:
             met = pivots.alias("x").join(
                 left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & F.expr("a_c <> b_c") & self._possible
             )
-            near = met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), self._distance().alias("bits"))
-            near = written(near.distinct(), "pairs")
-            if not near.isEmpty():
-                self.confirm(near.groupBy("a").agg(F.min(F.struct("bits", "b")).getField("b").alias("b")))
-                rest = written(self._across(near), "pairs")
-                if not rest.isEmpty():
-                    self.confirm(rest)
+            self.confirm(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
             done = written(done.unionByName(pivots.select("bucket", F.col("a").alias("id"))), "compared")
-            width *= 8
+            width *= 16
 
 
 def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
