@@ -31,11 +31,13 @@ _SIZE = len(_ALPHABET) + 1  # 0 is the start, and any other character
 class Markov:
     """``least`` and ``most``: characters of a token that is scored as one, longer runs are scored whole too;
     ``odds``: how many ordinary tokens come on a secret; ``sample``: documents at most whose words are the
-    ordinary identifiers to train on, chosen by a hash of the id; ``smooth``: added to each count."""
+    ordinary identifiers to train on, chosen by a hash of the id; ``drawn``: digests per such document that stand
+    for random strings, beside those the patterns find; ``smooth``: added to each count."""
 
     least: int = 20
     odds: float = 1e6
     sample: int = 2000
+    drawn: int = 12
     smooth: float = 0.5
 
     @property
@@ -115,8 +117,11 @@ def scan(docs: DataFrame, how: Markov = Markov()) -> DataFrame:
         ),
         "secret-tokens",
     )
-    key = F.sha2(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 256)
-    drawn = seen.filter("ordinary IS NOT NULL").select(F.explode(F.array(F.base64(F.unhex(key)), key)).alias("token"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    digests = [F.sha2(F.concat(name, F.lit(f"/{k}")), 256) for k in range(how.drawn)]
+    drawn = seen.filter("ordinary IS NOT NULL").select(
+        F.explode(F.array(*(F.base64(F.unhex(d)) for d in digests), digests[0])).alias("token")
+    )
     known = seen.select(F.explode("base").alias("b")).select(F.col("b.value").alias("token"))
     words = seen.select(F.explode("ordinary").alias("token"))
     samples = (
