@@ -46,11 +46,15 @@ def written(df: DataFrame, what: str) -> DataFrame:
 MOST_BROADCAST = 1 << 20
 
 
+def sized(rows: DataFrame) -> DataFrame:
+    """``rows`` (small ones, written) to be sent to all tasks if they are few, and as they are otherwise."""
+    return F.broadcast(rows) if rows.count() <= MOST_BROADCAST else rows
+
+
 def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` with a ``key`` (a long) among the distinct ``ids``, which are written: counted first, and sent to all
     tasks only if there are few."""
-    few = ids.count() <= MOST_BROADCAST
-    return df.join(F.broadcast(ids) if few else ids, key, "left_semi")
+    return df.join(sized(ids), key, "left_semi")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

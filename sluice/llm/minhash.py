@@ -289,7 +289,9 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
 
 def one_of_each(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id; rows without an id stay."""
-    kept = near_duplicates(docs, how).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    without = docs.filter("doc_id IS NULL")
-    first = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(without).select(*docs.columns)
+    kept = near_duplicates(docs, how).filter("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = written(kept, "kept-ids")
+    first = only(docs.filter("doc_id IS NOT NULL"), kept.select("doc_id"), "doc_id")
+    if not kept.filter("n > 1").isEmpty():
+        first = first.dropDuplicates(["doc_id"])
+    return first.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)

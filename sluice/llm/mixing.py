@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sluice.llm.common import WORD, let, written
+from sluice.llm.common import WORD, let, sized, written
 
 #: Of each three sources in order, their weights.
 WEIGHTS = (5, 2, 1)
@@ -297,5 +297,6 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     copies = taken(draw(docs, **options)).filter("taken > 0").select(
         F.col("doc_id").alias("_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")
     )
-    kept = docs.join(copies.filter("_copies > 0"), F.col("doc_id") == F.col("_id"))
+    copies = written(copies.filter("_copies > 0"), "mix-copies")
+    kept = docs.join(sized(copies), F.col("doc_id") == F.col("_id"))
     return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
