@@ -208,6 +208,7 @@ class TransformRule:
 
 @dataclass(frozen=True)
 class WindowSpec:
+    # Defaults that rules rely on.
     type: str = "tumbling"
     size_seconds: int = 60
     slide_seconds: int = 10
@@ -281,6 +282,7 @@ class InferenceSpec:
     service_url: str | None = None
     service_type: str | None = None
     model_name: str | None = None
+    # Defaults that config rows rely on.
     batch_size: int = 64
     max_wait_ms: int = 100
     async_capacity: int = 100
@@ -347,7 +349,7 @@ class LakeSpec:
     """Where the target table lives and its free-form properties."""
 
     warehouse: str
-    catalog_name: str = "paimon_catalog"
+    catalog_name: str = "paimon_catalog"  # fixed value: a default that config rows rely on
     database: str = "default"
     table_properties: MappingABC = field(default_factory=dict)
 
@@ -378,5 +380,5 @@ class JobSpec:
     schema: TableSchema
     kafka: KafkaSpec | None = None
     lake: LakeSpec | None = None
-    parallelism: int = 1
+    parallelism: int = 1  # fixed value: a default that config rows rely on
     steps: tuple[StepSpec, ...] = ()
