@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import hashing
-from sluice.llm.common import slices, written
+from sluice.llm.common import sized, slices, written
 
 LENGTH = 50
 PIECE = 26
@@ -467,7 +467,7 @@ def remove_repeats(
     copies = written(copies.select("doc_id", F.col("n").cast("long").alias("n_bytes"), "digest"), "copies")
     total = digests.agg(F.sum("n")).first()[0] or 0
     parts = min(1 << 31, max(8, math.ceil(total / part_bytes)))
-    repeated = copies.select("doc_id", "digest").distinct()
+    repeated = sized(written(copies.select("doc_id", "digest").distinct(), "repeated"))
     own = read.withColumn("digest", F.unhex(F.sha2("text", 256))).join(repeated, ["doc_id", "digest"], "left_anti")
     packed = written(own.select("doc_id", "text").mapInArrow(lambda b: _pack(b, batch_bytes), _BATCH), "batches")
 
