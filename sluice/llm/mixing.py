@@ -27,6 +27,7 @@ SHARE = 1.5
 MOST_REPEATS = 2
 _BUCKET_ROWS = 20_000
 _TAIL = 12
+_STRETCH = 1024
 
 
 def word_count(text: str = "text") -> Column:
@@ -289,14 +290,55 @@ def taken(pieces: DataFrame) -> DataFrame:
     return rows.unionByName(none)
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` repeated as the mix takes them: a document comes as often as the words taken fill it, rounded.
+def _copies(pieces: DataFrame, block_words: int) -> DataFrame:
+    """(doc_id, source, start, size, copies) of ``draw``'s rows with words.
 
-    Ids must be unique and not null where documents are to come back; rows without an id are not drawn.
+    A document of one block at most comes as often as its taken words fill it, rounded, which is right on average. Of a longer
+    one the taken share is near its source's, so all would be rounded alike: these are rounded down or up in the source's
+    order, by the words that are owed so far. Stretches of the order start anew, so that no task holds a source.
     """
-    copies = taken(draw(docs, **options)).filter("taken > 0").select(
-        F.col("doc_id").alias("_id"), F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("_copies")
+    rows = pieces.filter("size > 0").groupBy("doc_id", "source", "start", "size").agg(
+        F.coalesce(F.sum(F.when(F.col("shard").isNotNull(), F.col("words"))), F.lit(0)).cast("long").alias("taken")
     )
-    copies = written(copies.filter("_copies > 0"), "mix-copies")
-    kept = docs.join(sized(copies), F.col("doc_id") == F.col("_id"))
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows = written(rows, "mix-taken")
+    short = rows.filter(F.col("size") <= block_words).withColumn("copies", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int"))
+    out = "array<struct<doc_id:bigint,start:bigint,size:bigint,copies:int>>"
+
+    def step(a: Column, x: Column) -> Column:
+        whole = F.floor(x["taken"] / x["size"]).cast("long")
+        low = F.floor((a["owed"] + x["taken"]) / x["size"] + 0.5).cast("long")
+        most = F.when(x["taken"] > whole * x["size"], whole + 1).otherwise(whole)
+        return let(
+            F.least(F.greatest(low, whole), most),
+            lambda n: F.struct(
+                (a["owed"] + x["taken"] - n * x["size"]).alias("owed"),
+                F.concat(a["out"], F.array(F.struct(x["doc_id"].alias("doc_id"), x["start"].alias("start"), x["size"].alias("size"), n.cast("int").alias("copies"))).cast(out)).alias("out"),
+            ),
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("owed"), F.array().cast(out).alias("out"))
+    long = (
+        rows.filter(F.col("size") > block_words)
+        .groupBy("source", F.floor(F.col("start") / (block_words * _STRETCH)).alias("stretch"))
+        .agg(F.array_sort(F.collect_list(F.struct("start", "size", "doc_id", "taken"))).alias("rows"))  # _STRETCH at most
+        .select("source", F.inline(F.aggregate("rows", start, step)["out"]))
+    )
+    kept = ["doc_id", "source", "start", "size", "copies"]
+    return short.select(*kept).unionByName(long.select(*kept))
+
+
+def mixed(docs: DataFrame, block_words: int = 4096, **options) -> DataFrame:
+    """``docs`` as whole documents, as often as ``_copies`` says. Ids may be null or repeat: rows of one id, source and size
+    share out their copies among them; texts without words are not drawn."""
+    copies = _copies(draw(docs, block_words, **options), block_words)
+    keys = ["_id", "_source", "_size"]
+    named = copies.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "start", "copies")
+    per_key = named.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("start", "copies"))), lambda x: x["copies"]).alias("_copies"))
+    per_key = written(per_key.filter(F.exists("_copies", lambda n: n > 0)), "mix-copies")
+    own = docs.withColumns({"_d": F.col("doc_id").cast("long"), "_s": F.col("source").cast("string"), "_n": word_count()})
+    same = F.col("_d").eqNullSafe(F.col("_id")) & F.col("_s").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size"))
+    one = own.join(sized(per_key.filter(F.size("_copies") == 1)), same).withColumn("_nth", F.lit(1))
+    some = own.join(sized(per_key.filter(F.size("_copies") > 1)), same)
+    some = some.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.col("text").cast("string")))))
+    kept = one.unionByName(some).withColumn("_times", F.coalesce(F.get("_copies", F.col("_nth") - 1), F.lit(0))).filter("_times > 0")
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
