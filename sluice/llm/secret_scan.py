@@ -23,22 +23,25 @@ KINDS = {
 }
 RANDOM = "random"
 _ORDER = (*KINDS, RANDOM)
-_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
-_SIZE = len(_ALPHABET) + 1  # 0 is the start, and any other character
+_ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+_SIZE = len(_ALPHABET) + 1  # 0 is the start, and any separator: what follows starts anew, and none is evidence
 
 
 @dataclass(frozen=True)
 class Markov:
     """``least`` and ``most``: characters of a token that is scored as one, longer runs are scored whole too;
-    ``odds``: how many ordinary tokens come on a secret; ``sample``: documents at most whose words are the
-    ordinary identifiers to train on, chosen by a hash of the id; ``drawn``: digests per such document that stand
-    for random strings, beside those the patterns find; ``smooth``: added to each count."""
+    ``odds``: how many ordinary tokens come on a secret; ``sample``: documents at most for which random
+    strings are drawn, chosen by a hash of the id; ``drawn``: digests per such document that stand for random strings, beside
+    those the patterns find; ``smooth``: added to each count; ``floor``: the share of a row that is even over all characters,
+    so that a pair never seen weighs the same however many documents there are. The ordinary class is all identifiers of all
+    documents, long ones and parts of paths included, outside base spans."""
 
     least: int = 20
     odds: float = 1e6
     sample: int = 2000
     drawn: int = 12
     smooth: float = 0.5
+    floor: float = 0.01
 
     @property
     def pattern(self) -> str:
@@ -84,8 +87,9 @@ def train(samples: DataFrame, how: Markov) -> list[float]:
         tables[kind][pair] += n
     logs = {}
     for kind, table in tables.items():
-        rows = [sum(table[r * _SIZE : (r + 1) * _SIZE]) for r in range(_SIZE)]
-        logs[kind] = [math.log(x / rows[i // _SIZE]) for i, x in enumerate(table)]
+        rows = [sum(table[r * _SIZE + 1 : (r + 1) * _SIZE]) for r in range(_SIZE)]
+        even = how.floor / (_SIZE - 1)
+        logs[kind] = [math.log((1 - how.floor) * x / rows[i // _SIZE] + even) if i % _SIZE else 0.0 for i, x in enumerate(table)]
     return [a - b for a, b in zip(logs[True], logs[False], strict=True)]
 
 
@@ -110,20 +114,23 @@ def scan(docs: DataFrame, how: Markov = Markov()) -> DataFrame:
     apart = F.filter(
         "tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
     )
-    ordinary = F.filter(F.regexp_extract_all(text, F.lit(r"[A-Za-z][A-Za-z0-9_.-]{3,}"), F.lit(0)), lambda w: F.length(w) < how.least)
+    plain = text
+    for pattern, _, _ in KINDS.values():
+        plain = F.regexp_replace(plain, pattern, " ")
+    ordinary = F.regexp_extract_all(plain, F.lit(r"[A-Za-z][A-Za-z0-9_.+/=-]{3,}"), F.lit(0))
     seen = written(
-        read.select("doc_id", base.alias("base"), tokens.alias("tokens"), F.when(sampled, ordinary).alias("ordinary")).select(
-            "doc_id", "base", apart.alias("tokens"), "ordinary"
+        read.select("doc_id", base.alias("base"), tokens.alias("tokens"), sampled.alias("sampled")).select(
+            "doc_id", "base", apart.alias("tokens"), "sampled"
         ),
         "secret-tokens",
     )
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     digests = [F.sha2(F.concat(name, F.lit(f"/{k}")), 256) for k in range(how.drawn)]
-    drawn = seen.filter("ordinary IS NOT NULL").select(
+    drawn = seen.filter("sampled").select(
         F.explode(F.array(*(F.base64(F.unhex(d)) for d in digests), digests[0])).alias("token")
     )
     known = seen.select(F.explode("base").alias("b")).select(F.col("b.value").alias("token"))
-    words = seen.select(F.explode("ordinary").alias("token"))
+    words = read.select(F.explode(ordinary).alias("token"))
     samples = (
         known.unionByName(drawn).withColumn("random", F.lit(True)).unionByName(words.withColumn("random", F.lit(False)))
     )
