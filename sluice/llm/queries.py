@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, line_dedup, minhash, mixing, quality, secret_scan, sharding, suffix_dedup, token_counts, warc
+from sluice.llm import (
+    decontaminate,
+    line_dedup,
+    minhash,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from sluice.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +147,16 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of each document without 50-byte strings of smaller ones."""
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
     return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+SEQUENCE = 4096
+END_ID = 2
+
+
+@query()
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4,096 tokens."""
+    import public_tokenizers
+
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), SEQUENCE, END_ID)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
