@@ -14,6 +14,7 @@ from sluice.llm import (
     mixing,
     packing,
     quality,
+    resampling,
     secret_scan,
     sharding,
     suffix_dedup,
@@ -160,3 +161,42 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), SEQUENCE, END_ID)
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+_BYTES = "list_transform(range(strlen(f)), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))"
+_CHECKSUM = f"""xor(list_reduce(list_prepend(4294967295, {_BYTES}),
+    lambda c, b: xor(c >> 8, list_extract(steps, 1 + (xor(c, b) & 255)))), 4294967295)"""
+_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+@query(
+    f"""
+WITH RECURSIVE bits AS (SELECT range AS b, 0 AS k, range AS c FROM range(256)
+  UNION ALL SELECT b, k + 1, {_STEP} FROM bits WHERE k < 8),
+steps AS (SELECT list(c ORDER BY b) AS steps FROM bits WHERE k = 8),
+texts AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+runs AS (SELECT side, id, len(w) AS n_words,
+  list_concat(w, list_transform(range(len(w) - 1), lambda i: w[i + 1] || ' ' || w[i + 2])) AS fs FROM words),
+each AS (SELECT side, id, unnest(fs) AS f FROM runs),
+hashed AS (SELECT f, {_CHECKSUM} % 10000 AS bucket FROM (SELECT DISTINCT f FROM each), steps),
+counted AS (SELECT side, id, bucket, count(*) AS n FROM each JOIN hashed USING (f) GROUP BY ALL),
+totals AS (SELECT bucket, coalesce(sum(n) FILTER (side = 'd'), 0) AS s, coalesce(sum(n) FILTER (side = 'b'), 0) AS t
+  FROM counted GROUP BY bucket),
+sums AS (SELECT coalesce(sum(s), 0)::DOUBLE AS ss, coalesce(sum(t), 0)::DOUBLE AS tt FROM totals),
+gains AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (ss + 10000) / ((s + 1)::DOUBLE * (tt + 10000))))::BIGINT AS gain
+  FROM totals, sums),
+means AS (SELECT id, sum(n * gain) AS g, sum(n) AS n FROM counted JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (SELECT id AS doc_id, n_words, coalesce(n, 0)::BIGINT AS n_features,
+  coalesce((g - ((g % n) + n) % n) // n, 0)::BIGINT AS weight,
+  floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS noise
+  FROM runs LEFT JOIN means USING (id) WHERE side = 'd'),
+placed AS (SELECT *, weight + noise AS score, n_words >= 20 AS able,
+  row_number() OVER (PARTITION BY n_words >= 20 ORDER BY weight + noise DESC, doc_id) AS r,
+  count(*) OVER (PARTITION BY n_words >= 20) AS n_able FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND r <= 25 * n_able // 100 THEN r END AS rank FROM placed"""
+)
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn by how much they resemble the benchmark's texts."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -26,5 +26,5 @@ def test_every_operator_is_registered():
     assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_minhash", "op2_decontaminate", "op3_extendible_shards", "op4_quality_rules", "op5_suffix_dedup",
         "op6_mix", "op7_secrets", "op8_warc", "op9_fuzzy_lines", "op10_token_counts",
-        "op13_packing",
+        "op12_resample", "op13_packing",
     ]
