@@ -250,7 +250,8 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, end: int | None = 2)
     # At most one row per length.
     histogram = {row["n"]: row["count"] for row in items.groupBy("n").count().collect()}
     ranked = numbered(items, "item", F.desc("n"), F.asc("uid"), F.asc("start"))
-    placed = ranked.join(_steps(spark, plan(histogram, size)), "item").groupBy("uid").agg(
+    # The plan is small but its steps are as many as the items: never a side to broadcast.
+    placed = ranked.join(_steps(spark, plan(histogram, size)).hint("merge"), "item").groupBy("uid").agg(
         F.collect_list(
             F.struct((F.col("start") + F.col("within")).alias("start"), "length", "sequence_id", "offset").cast(_PIECE)
         ).alias("pieces")
