@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import (
+    conversation_trie,
     decontaminate,
     line_dedup,
     minhash,
@@ -200,3 +201,36 @@ SELECT doc_id, n_features, weight, score, CASE WHEN able AND r <= 25 * n_able //
 def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of the documents, drawn by how much they resemble the benchmark's texts."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    f"""
+WITH RECURSIVE bits AS (SELECT range AS b, 0 AS k, range AS c FROM range(256)
+  UNION ALL SELECT b, k + 1, {_STEP} FROM bits WHERE k < 8),
+steps AS (SELECT list(c ORDER BY b) AS steps FROM bits WHERE k = 8),
+raw AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  WHERE conv_id IS NOT NULL),
+keyed AS (SELECT c, turn, md5(concat(length(role), ':', role, text)) AS k,
+  len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS w FROM raw),
+turns AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, k, w) AS p FROM keyed),
+sizes AS (SELECT c, CAST(c AS VARCHAR) AS f, c - c % 20 AS b, count(*) AS n FROM turns GROUP BY c),
+ids AS (SELECT c, b, n, {_CHECKSUM} % 4 AS h FROM sizes, steps),
+parts AS (SELECT i.c, 0 AS half, t.p, t.k, t.w FROM ids i JOIN turns t ON t.c = i.b AND t.p <= i.h
+  UNION ALL SELECT i.c, 1, t.p, t.k, t.w FROM ids i JOIN turns t ON t.c = i.c AND t.p > i.h),
+seqs AS (SELECT i.c, coalesce(list(p.k ORDER BY half, p) FILTER (p.k IS NOT NULL), []) AS ks,
+  coalesce(list(p.w ORDER BY half, p) FILTER (p.k IS NOT NULL), []) AS ws FROM ids i LEFT JOIN parts p ON p.c = i.c GROUP BY i.c),
+paths AS (SELECT c, len(ks) AS n, d, array_to_string(ks[1:d], ',') AS node, CASE WHEN d = 0 THEN 0 ELSE ws[d] END AS w,
+  CASE WHEN d > 0 THEN array_to_string(ks[1:d - 1], ',') END AS up
+  FROM (SELECT *, unnest(range(len(ks) + 1)) AS d FROM seqs)),
+nodes AS (SELECT node, any_value(up) AS up, d, min(c) AS conv_id, count(*) AS n_convs, max(w) AS w,
+  sha256(coalesce(string_agg(c, ',' ORDER BY c) FILTER (n = d), '')) AS ends FROM paths GROUP BY node, d),
+tree AS (SELECT n.*, (SELECT count(*) FROM nodes k WHERE k.up = n.node AND k.d = n.d + 1) AS n_children FROM nodes n),
+sums AS (SELECT p.node, p.d, sum(CAST(t.n_children = 0 AS BIGINT)) AS n_leaves, sum((t.n_convs - 1) * t.w) AS saved
+  FROM tree t JOIN paths p ON p.c = t.conv_id AND p.d <= t.d GROUP BY p.node, p.d)
+SELECT t.conv_id, t.d AS depth, u.conv_id AS parent_conv_id, t.n_convs, t.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved AS BIGINT) AS saved_tokens, t.ends AS ends_sha256
+FROM tree t JOIN sums s ON s.node = t.node AND s.d = t.d LEFT JOIN nodes u ON u.node = t.up AND u.d = t.d - 1"""
+)
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All nodes of the trie of the rebuilt conversations."""
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
