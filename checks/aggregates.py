@@ -101,6 +101,44 @@ register(
     f"SELECT event_type, count(DISTINCT user_id) AS users, count(*) AS n, {_bounds('w', 7200)} "
     f"FROM {_covering(7200, 3600)} c GROUP BY event_type, w",
 )
+
+
+def _by_day(rule: AggregateRule, *digest: str):
+    """Windows are far more than rows here, so each day's are reduced to a few figures over all of them."""
+
+    def run(spark, sf):
+        out = aggregate_rows(sparse_events(spark, sf), rule)
+        day = F.date_trunc("day", "window_start").alias("day")
+        return out.groupBy("event_type", day).agg(F.count(F.lit(1)).alias("windows"), *map(F.expr, digest))
+
+    return run
+
+
+register(
+    "agg_sliding_fine",
+    _by_day(
+        _rule({"type": "sliding", "sizeSeconds": 3600, "slideSeconds": 1}, _SUMS),
+        "round(max(total), 6) AS most", "round(min(total), 6) AS least", "sum(n) AS n", "max(CAST(mean AS FLOAT)) AS mean",
+        "min(low) AS low", "min(high) AS high", "max(low) AS top_low",
+    ),
+    "SELECT event_type, date_trunc('day', w)::TIMESTAMP AS day, count(*) AS windows, round(max(total), 6) AS most, "
+    "round(min(total), 6) AS least, CAST(sum(n) AS BIGINT) AS n, max(mean::FLOAT) AS mean, min(low) AS low, min(high) AS high, "
+    "max(low) AS top_low "
+    f"FROM (SELECT event_type, w, sum(coalesce(value, 0)) AS total, count(*) AS n, avg(coalesce(value, 0)) AS mean, "
+    f"min(coalesce(value, 0)) AS low, max(coalesce(value, 0)) AS high FROM {_covering(3600, 1)} c GROUP BY event_type, w) g "
+    "GROUP BY event_type, date_trunc('day', w)",
+)
+register(
+    "agg_sliding_distinct_fine",
+    _by_day(
+        _rule({"type": "sliding", "sizeSeconds": 36000, "slideSeconds": 60}, _DISTINCT),
+        "sum(users) AS users", "max(users) AS most_users", "min(users) AS least_users", "sum(n) AS n",
+    ),
+    "SELECT event_type, date_trunc('day', w)::TIMESTAMP AS day, count(*) AS windows, CAST(sum(users) AS BIGINT) AS users, "
+    "max(users) AS most_users, min(users) AS least_users, CAST(sum(n) AS BIGINT) AS n "
+    f"FROM (SELECT event_type, w, count(DISTINCT user_id) AS users, count(*) AS n FROM {_covering(36000, 60)} c "
+    "GROUP BY event_type, w) g GROUP BY event_type, date_trunc('day', w)",
+)
 register(
     "agg_session",
     _run(_rule({"type": "session", "gapSeconds": 1800}, _SUMS, keys=("user_id",))),

@@ -5,7 +5,8 @@ hot, brings more than one pre-aggregated row per key and time pane to a task:
 
 * tumbling: one ``groupBy``, combined map-side;
 * sliding: aggregate once into panes, the stretches no window starts or ends in (at most two per
-  slide), then spread the few pane rows over the windows that cover them, not every input row;
+  slide), then spread the few pane rows over the windows that cover them, not every input row; where
+  windows cover many slides, panes are scanned instead (see :mod:`sluice.operators.sliding`);
 * session: aggregate into panes as long as the gap. Rows of one pane are always in one session, so
   sessions are found among pane rows, block by block of the time line, and joined over the borders of
   blocks; a hot key, or none at all, is so spread over tasks.
@@ -13,11 +14,14 @@ hot, brings more than one pre-aggregated row per key and time pane to a task:
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from sluice.operators.sliding import fine_windows
 from sluice.schema import ref, require_column
 from sluice.spec import AggregateRule, Aggregation, ConfigError
 
@@ -26,6 +30,8 @@ WINDOW_COLUMN = "_window"
 _TIME = "_agg_time"
 # Sessions are found within stretches of so many gaps.
 _BLOCK_GAPS = 10_000
+# Windows of more slides than this are found by scans over panes; with fewer, a row per pane and window is cheaper.
+_MOST_SPREAD = 16
 
 
 def _number(a: Aggregation, nulls: str) -> Column:
@@ -148,6 +154,41 @@ def _panes(df: DataFrame, rule: AggregateRule, pane: Column) -> DataFrame:
     )
 
 
+def _fine(paned: DataFrame, rule: AggregateRule) -> DataFrame:
+    """Sliding windows of many slides, from the rows with their ``_pane``."""
+    # Keys by number, so that no key has the name of a working column.
+    names = rule.key_fields
+    paned = paned.withColumns({f"_k{i}": ref(k) for i, k in enumerate(names)})
+    rule = replace(rule, key_fields=tuple(f"_k{i}" for i in range(len(names))))
+    parts = {}
+    for i, a in enumerate(rule.aggregations):
+        if a in _distincts(rule):
+            continue
+        parts[f"p{i}"] = a.op if a.op in ("min", "max") else "sum"
+        if a.op == "avg":
+            parts[f"q{i}"] = "sum"
+    panes = _panes(paned, rule, ref("_pane")).drop("_first", "_last").withColumn("_n", F.lit(1))
+    values = {
+        f"d{i}": paned.select("_pane", *_keys(rule), ref(a.input).alias("_value")).filter("_value IS NOT NULL").distinct()
+        for i, a in enumerate(_distincts(rule))
+    }
+    size, slide = rule.window.size_seconds, rule.window.slide_seconds
+    out = fine_windows(panes, values, list(rule.key_fields), parts, size, slide)
+    zone = paned.schema["_pane"].dataType
+    at = lambda s: F.timestamp_seconds(s).cast(zone)
+    window = F.struct(at(F.col("_start")).alias("start"), at(F.col("_start") + size).alias("end"))
+    distinct = iter(values)
+    columns = []
+    for i, a in enumerate(rule.aggregations):
+        if a in _distincts(rule):
+            col = F.col(next(distinct))
+        else:
+            col = F.try_divide(F.col(f"p{i}"), F.col(f"q{i}")) if a.op == "avg" else F.col(f"p{i}")
+        columns.append(col.alias(a.output))
+    keys = (ref(k).alias(name) for k, name in zip(rule.key_fields, names))
+    return out.select(window.alias(WINDOW_COLUMN), *keys, *columns)
+
+
 def _sliding(df: DataFrame, rule: AggregateRule) -> DataFrame:
     size, slide = rule.window.size_seconds, rule.window.slide_seconds
     if slide > size:
@@ -166,6 +207,8 @@ def _sliding(df: DataFrame, rule: AggregateRule) -> DataFrame:
     cut = start + F.expr(f"INTERVAL {size % slide} SECONDS")
     pane = F.when(ref(_TIME) < cut, start).otherwise(cut) if size % slide else start
     paned = df.withColumn("_pane", pane)
+    if size > _MOST_SPREAD * slide:
+        return _fine(paned, rule)
     panes = _panes(paned, rule, ref("_pane")).withColumn(_TIME, ref("_pane"))
     out = panes.groupBy(window.alias(WINDOW_COLUMN), *_keys(rule)).agg(F.count(F.lit(1)).alias("_panes"), *_merge_columns(rule))
     for a in _distincts(rule):

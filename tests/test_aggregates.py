@@ -1,8 +1,11 @@
+import random
+
 import pytest
 from helpers import plan_of
 from pyspark.sql import functions as F
 
 from sluice import AggregateRule, ConfigError, aggregate_rows
+from sluice.operators import aggregate
 
 AGGS = [
     {"output": "total", "op": "sum", "input": "amount"},
@@ -124,3 +127,66 @@ def test_sessions_over_borders_of_blocks(events, monkeypatch, keys):
     whole = sorted(map(tuple, aggregate_rows(events, rule).collect()))
     monkeypatch.setattr(aggregate, "_BLOCK_GAPS", 2)
     assert sorted(map(tuple, aggregate_rows(events, rule).collect())) == whole and len(whole) > (1 if keys else 0)
+
+
+ALL = [
+    {"output": "total", "op": "sum", "input": "v"},
+    {"output": "n", "op": "count"},
+    {"output": "held", "op": "count", "input": "v"},
+    {"output": "mean", "op": "avg", "input": "v"},
+    {"output": "low", "op": "min", "input": "v"},
+    {"output": "high", "op": "max", "input": "v"},
+    {"output": "kinds", "op": "count_distinct", "input": "v"},
+    {"output": "names", "op": "count_distinct", "input": "w"},
+]
+
+
+def sliding(size, slide, keys=("k",), aggs=ALL, **rest):
+    return rule({"type": "sliding", "sizeSeconds": size, "slideSeconds": slide}, aggs, keys, emit_window=True, **rest)
+
+
+def same_both_ways(df, how, monkeypatch):
+    """Windows found by scans over panes, and by a row per pane and window."""
+    found = []
+    for most in (1, 10**9):
+        monkeypatch.setattr(aggregate, "_MOST_SPREAD", most)
+        out = aggregate_rows(df, how)
+        found.append((out.schema.simpleString(), sorted((tuple(r) for r in out.collect()), key=repr)))
+    assert found[0] == found[1]
+    return found[0][1]
+
+
+@pytest.mark.parametrize("size, slide, zone, nulls", [(90, 1, "timestamp_ntz", "zero"), (61, 3, "timestamp", "skip"), (100, 40, "timestamp_ntz", "skip"), (7, 2, "timestamp", "zero")])
+def test_fine_sliding_windows(spark, monkeypatch, size, slide, zone, nulls):
+    r = random.Random(size)
+    data = [
+        (f"19{r.choice([69, 70])}-0{r.choice([1, 1, 2])}-01 00:{r.randint(0, 6):02d}:{r.randint(0, 59):02d}.{r.randint(0, 999):03d}",
+         r.choice(["a", "b", None]), r.choice([None, 1.0, 2.5, -3.0, 7.25, float("inf")]), r.choice([None, "x", "y", "z"]))
+        for _ in range(150)
+    ]
+    df = spark.createDataFrame(data + data[:9], "at string, k string, v double, w string").withColumn("at", F.col("at").cast(zone))
+    assert len(same_both_ways(df, sliding(size, slide, nulls=nulls), monkeypatch)) > 100
+
+
+def test_fine_sliding_windows_without_keys_rows_or_aggregates(spark, rows, monkeypatch):
+    df = rows.withColumnRenamed("user_id", "_block").withColumnRenamed("event_type", "_at")
+    total = [{"output": "sum of all", "op": "sum", "input": "amount"}, {"output": "p0", "op": "count_distinct", "input": "_block"}]
+    assert len(same_both_ways(df, sliding(60, 2, (), total), monkeypatch)) == 55
+    assert len(same_both_ways(df, sliding(60, 2, (), []), monkeypatch)) == 55
+    assert len(same_both_ways(df, sliding(60, 2, ("_block", "_at"), total[:1]), monkeypatch)) == 85
+    assert same_both_ways(df.limit(0), sliding(60, 2, (), total), monkeypatch) == []
+
+
+def test_fine_sliding_sums_do_not_cancel(spark, monkeypatch):
+    data = [("2024-01-01 00:00:00", 1e20), ("2024-01-01 00:00:30", 1.0), ("2024-01-01 00:01:10", 2.0)]
+    df = spark.createDataFrame(data, "at string, v double").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = same_both_ways(df, sliding(60, 1, (), [{"output": "s", "op": "sum", "input": "v"}]), monkeypatch)
+    assert {r[0] for r in got} == {1e20, 1.0, 2.0, 3.0}
+
+
+def test_fine_sliding_windows_take_no_row_per_window(spark):
+    """The rows that are scanned are as many whatever the ratio; only the last step writes windows."""
+    df = spark.range(2000).select((F.lit(1704067200) + F.col("id") * 7).cast("timestamp").alias("at"), (F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"), F.lit("x").alias("w"))
+    for size in (600, 6000):
+        plan = plan_of(aggregate_rows(df, sliding(size, 1)))
+        assert "Expand" not in plan and plan.count("Generate explode(sequence") == 1
