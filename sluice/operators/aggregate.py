@@ -1,6 +1,6 @@
 """Keyed window aggregation.
 
-On a stream the window state is Spark's own. On a batch the plan is chosen so that no key, however
+On a stream the window state is Spark's own, in chained operators where windows are final. On a batch the plan is chosen so that no key, however
 hot, brings more than one pre-aggregated row per key and time pane to a task:
 
 * tumbling: one ``groupBy``, combined map-side;
@@ -24,6 +24,7 @@ from pyspark.sql.window import Window
 from sluice.operators.sliding import fine_windows
 from sluice.schema import ref, require_column
 from sluice.spec import AggregateRule, Aggregation, ConfigError
+from sluice.streaming.final_windows import sessions, windows
 
 # Carried through later steps so that a second aggregation can use this one's event time.
 WINDOW_COLUMN = "_window"
@@ -290,12 +291,15 @@ def aggregate_rows(df: DataFrame, rule: AggregateRule, keep_window: bool = False
     """Group by the rule's keys and window: keys first, then the aggregates in rule order.
 
     Numbers are doubles and a null counts as 0.0 (``nulls: "skip"`` gives SQL semantics); ``count``
-    counts rows. ``emit_window`` appends ``window_start`` and ``window_end``.
+    counts rows. ``emit_window`` appends ``window_start`` and ``window_end``. On a stream ``final`` gives each window
+    out once, when it is complete (see :mod:`sluice.streaming.final_windows`); a batch is complete anyway.
     """
     _check(df, rule)
     df, time_type = _with_time(df, rule)
     kind = rule.window.kind
-    if kind == "session":
+    if df.isStreaming and rule.final:
+        out = (sessions if kind == "session" else windows)(df, rule, _TIME, WINDOW_COLUMN)
+    elif kind == "session":
         out = _session(df, rule)
     elif kind == "sliding":
         out = _sliding(df, rule)

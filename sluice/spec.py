@@ -246,6 +246,7 @@ class AggregateRule:
     nulls: str = "zero"
     emit_window: bool = False
     rsd: float = 0.05
+    final: bool = False  # on a stream: each window once, when complete; exact distinct counts, less state, append mode only
 
     def __post_init__(self):
         if self.nulls not in ("zero", "skip"):

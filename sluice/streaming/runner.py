@@ -17,7 +17,8 @@ from sluice.sinks import ddl
 from sluice.sources.config_tables import ConfigTables
 from sluice.sources.decode import BAD_RECORD, decode_json
 from sluice.sources.messages import read_kafka
-from sluice.spec import ConfigError, JobSpec
+from sluice.spec import AggregateRule, ConfigError, JobSpec
+from sluice.streaming.processors import STORE
 
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
@@ -41,16 +42,26 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(lines[0][0])["id"]
 
 
+def _needs_timers(job: JobSpec) -> bool:
+    """Whether a step keeps state that only one kind of state store takes."""
+    rules = [AggregateRule.from_json(s.config or {}) for s in job.steps if s.type == "aggregate"]
+    return any(r.final and r.window.kind == "session" for r in rules)
+
+
 def _start(spark: SparkSession, job: JobSpec, writer) -> StreamingQuery:
-    # A query copies the session's settings when it starts, so the job's own parallelism is set for
-    # that moment only. The default of 1 says nothing and leaves the session's number.
-    before = spark.conf.get(_PARTITIONS)
-    if job.parallelism > 1:
-        spark.conf.set(_PARTITIONS, str(job.parallelism))
+    # A query copies the session's settings when it starts, so the job's own are set for that moment
+    # only. A parallelism of 1, the default, says nothing and leaves the session's number.
+    own = {_PARTITIONS: str(job.parallelism)} if job.parallelism > 1 else {}
+    if _needs_timers(job):
+        own[STORE[0]] = STORE[1]
+    before = {name: spark.conf.get(name, None) for name in own}
+    for name, value in own.items():
+        spark.conf.set(name, value)
     try:
         return writer.start()
     finally:
-        spark.conf.set(_PARTITIONS, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def upsert_batches(
