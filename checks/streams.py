@@ -16,6 +16,7 @@ from sluice import (
     ConfigTables, FilterRule, StepSpec, TableSchema, TransformRule, batch_result, build_requests, decode_json, dedup, filter_rows, infer,
     parse_responses, read_files, run_reloading, run_stream, transform_rows,
 )
+from sluice.operators.inference import http_scorer
 from sluice.plans.job import table_of
 
 _ONCE = {"availableNow": True}
@@ -194,6 +195,55 @@ register(
     "SELECT event_id, user_id % 7 AS bucket, value / 1000 AS score, value > 100 AS high FROM events WHERE user_id % 7 <> 3",
 )
 
+# --- batches and calls ------------------------------------------------------------------------------
+
+
+def _measured(spec):
+    """Says of each row how large its batch was."""
+    return lambda batch: [{"rows": len(batch)}] * len(batch)
+
+
+_SCORED = TableSchema.from_json(
+    {
+        "table": "scored",
+        "fields": [{"name": "event_id", "type": "LONG"}, {"name": "user_id", "type": "LONG"}, {"name": "value", "type": "DOUBLE"}, {"name": "rows", "type": "LONG"}],
+        "primaryKeys": ["event_id"],
+    }
+)
+
+
+@check("SELECT CAST(64 AS BIGINT) AS rows, count(*) // 64 * 64 AS n FROM events")
+def stream_full_batches(spark, sf):
+    """A stream's model batches fill up over micro-batches; what does not fill one waits in the state."""
+    function = _spec(function_id="measure", input_fields=("value",), output_fields=("rows",), max_wait_ms=3_600_000, extra_config={"carry": True})
+    job = _job(spark, "stream_full_batches", _SCORED, (StepSpec("ai-inference", None, function),))
+    events = _event_stream(spark, sf)
+    run = run_stream(spark, job, f"{job.lake.warehouse}/checkpoint", source=_messages(events), scorers={"measure": _measured}, trigger=_ONCE)
+    run.awaitTermination()
+    return table_of(spark, job).read().groupBy("rows").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _moody(spec):
+    """A service that refuses the first attempts of a batch and then answers."""
+    refused = []
+
+    def post(url, body, timeout, headers):
+        if len(refused) < 2:
+            refused.append(url)
+            raise OSError("refused")
+        refused.clear()
+        return json.dumps([{"score": row["value"] / 1000, "high": row["value"] > 100} for row in json.loads(body)["inputs"]])
+
+    return http_scorer(spec, post)
+
+
+@check("SELECT event_id, value / 1000 AS score, value > 100 AS high FROM events")
+def infer_retry(spark, sf):
+    """Refused calls are made again, within the batch's time."""
+    spec = _spec(input_fields=("value",), service_url="http://rater.test", service_type="generic", batch_size=4096, failure_strategy="FAIL", async_capacity=1)
+    return infer(table(spark, sf, "events"), spec, _moody, _OUTPUTS).select("event_id", "score", "high")
+
+
 # --- requests and answers ---------------------------------------------------------------------------
 
 

@@ -16,6 +16,7 @@ from collections.abc import Callable, Iterator
 from decimal import Decimal
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +27,7 @@ from sluice.operators import payloads
 from sluice.schema import require_column, spark_type
 from sluice.session import ship_package
 from sluice.spec import ConfigError, InferenceSpec, TableSchema
+from sluice.streaming.batching import collect_batches
 
 # One batch in, one result per row out, in the same order; short results leave nulls.
 Scorer = Callable[[pd.DataFrame], "pd.DataFrame | list[dict[str, Any]]"]
@@ -36,6 +38,9 @@ ScorerFactory = Callable[[InferenceSpec], Scorer]
 RETRIES = 3
 FIRST_WAIT_SECONDS = 0.1
 
+# So many times its own timeout a call waits for a place; only calls that never end make it wait so long.
+_PATIENCE = 10
+
 # Nullable pandas types keep whole numbers exact beside nulls.
 _PANDAS = {
     pa.int8(): pd.Int8Dtype(),
@@ -66,15 +71,18 @@ def scorer_factory(spec: InferenceSpec) -> ScorerFactory:
 # --- calling a service ------------------------------------------------------------------------
 
 
-def with_retry(call: Callable[[], Any], retries: int = RETRIES, wait: float = FIRST_WAIT_SECONDS, sleep=time.sleep) -> Any:
-    """Call, and on failure call again after ``wait``, twice that, and so on."""
+def with_retry(
+    call: Callable[[], Any], retries: int = RETRIES, wait: float = FIRST_WAIT_SECONDS, sleep=time.sleep, deadline: float | None = None
+) -> Any:
+    """Call, and on failure call again after ``wait``, twice that, and so on; never later than ``deadline`` (monotonic time)."""
     for attempt in range(retries + 1):
+        pause = wait * 2**attempt
         try:
             return call()
         except Exception:
-            if attempt == retries:
+            if attempt == retries or (deadline is not None and time.monotonic() + pause >= deadline):
                 raise
-            sleep(wait * 2**attempt)
+            sleep(pause)
 
 
 def post_json(url: str, body: str, timeout: float, headers: dict[str, str]) -> str:
@@ -87,14 +95,24 @@ def post_json(url: str, body: str, timeout: float, headers: dict[str, str]) -> s
 
 
 def http_scorer(spec: InferenceSpec, post=post_json) -> Scorer:
-    """Send each batch to the function's service URL in its payload format."""
+    """Send each batch to the function's service URL in its payload format.
+
+    A batch has ``async_timeout_ms`` for all its attempts, so a call that is given up ends soon after.
+    """
     if not spec.service_url:
         raise ConfigError(f"function {spec.function_id!r}: service_url is required")
 
     def score(batch: pd.DataFrame) -> list[dict[str, Any]]:
         body = payloads.encode_batch(batch, spec)
-        timeout = spec.async_timeout_ms / 1000
-        answer = with_retry(lambda: post(spec.service_url, body, timeout, spec.headers))
+        deadline = time.monotonic() + spec.async_timeout_ms / 1000
+
+        def attempt() -> str:
+            left = deadline - time.monotonic()
+            if left <= 0:
+                raise TimeoutError("no time is left for another attempt")
+            return post(spec.service_url, body, left, spec.headers)
+
+        answer = with_retry(attempt, deadline=deadline)
         return payloads.decode_answer(answer, spec, len(batch))
 
     return score
@@ -103,27 +121,51 @@ def http_scorer(spec: InferenceSpec, post=post_json) -> Scorer:
 register_scorer("http", http_scorer)
 
 
+class _Places:
+    """How many calls may be alive at once, those given up among them, since they still burden the service."""
+
+    def __init__(self, capacity: int, timeout: float):
+        self._free = threading.BoundedSemaphore(capacity)
+        self._patience = _PATIENCE * timeout
+
+    def take(self) -> bool:
+        """Wait for a place; false where calls that were given up hold all of them and do not end."""
+        return self._free.acquire(timeout=self._patience)
+
+    def leave(self) -> None:
+        self._free.release()
+
+
 class _Call:
-    """A call on a thread of its own, which may be left behind: a slow one takes no place from the next.
+    """A call on a thread of its own, which may be given up. Its time counts from its own start.
 
-    Its time counts from its own start.
+    A call given up keeps its place until it really ends.
     """
 
-    def __init__(self, score: Scorer, batch: pd.DataFrame, timeout: float):
+    def __init__(self, score: Scorer, batch: pd.DataFrame, timeout: float, places: _Places):
         self._outcome: list = []
         self._ended = threading.Event()
+        if not places.take():
+            self._end(None, TimeoutError("calls that were given up hold all places"))
+            return
         self._deadline = time.monotonic() + timeout
-        threading.Thread(target=self._run, args=(score, batch), daemon=True).start()
+        threading.Thread(target=self._run, args=(score, batch, places), daemon=True).start()
 
-    def _run(self, score: Scorer, batch: pd.DataFrame) -> None:
+    def _end(self, value: Any, error: Exception | None) -> None:
+        self._outcome.append((value, error))
+        self._ended.set()
+
+    def _run(self, score: Scorer, batch: pd.DataFrame, places: _Places) -> None:
+        value = error = None
         try:
-            self._outcome.append((score(batch), None))
+            value = score(batch)
         except Exception as e:  # handed to whoever asks for the result
-            self._outcome.append((None, e))
-        self._ended.set()
+            error = e
+        places.leave()
+        self._end(value, error)
 
     def result(self) -> Any:
-        if not self._ended.wait(max(self._deadline - time.monotonic(), 0)):
+        if not self._ended.is_set() and not self._ended.wait(max(self._deadline - time.monotonic(), 0)):
             raise TimeoutError("the call took too long")
         value, error = self._outcome[0]
         if error is not None:
@@ -165,6 +207,25 @@ def _chunks(frames: Iterator[pa.RecordBatch], size: int, batch_by: str | None) -
         yield held, [(0, held.num_rows)]
 
 
+def _collected(frames: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[pa.Table, list]]:
+    """The same for rows that were collected on a stream: a batch's follow each other under one lane and number, and may
+    go on in the next frame."""
+    held: pa.Table | None = None
+    for frame in frames:
+        table = pa.Table.from_batches([frame])
+        if held is not None:
+            table = pa.concat_tables([held, table])
+        if not table.num_rows:
+            continue
+        lane, number = (table.column(i).to_numpy() for i in (0, 1))
+        starts = [0, *(np.flatnonzero((lane[1:] != lane[:-1]) | (number[1:] != number[:-1])) + 1).tolist()]
+        last, held = starts[-1], table.slice(starts[-1])
+        if last:
+            yield table.slice(0, last).select(range(2, table.num_columns)).rename_columns(names), list(zip(starts, starts[1:]))
+    if held is not None:
+        yield held.select(range(2, held.num_columns)).rename_columns(names), [(0, held.num_rows)]
+
+
 def _part(inputs: pd.DataFrame, start: int, stop: int) -> pd.DataFrame:
     return inputs.iloc[start:stop].reset_index(drop=True)
 
@@ -234,19 +295,23 @@ def infer(
 
     Outputs take the type ``declared`` gives them, else that of a column they overwrite, else text.
     A batch whose scorer raises or overruns its time is left out (SKIP), kept with null outputs
-    (PASS_THROUGH) or fails the job (FAIL). Each call has its own time, and one that overruns it holds up
-    no other. ``scorer`` defaults to the one registered for the function's type; only those run several batches at
-    a time, ``async_capacity`` of them.
+    (PASS_THROUGH) or fails the job (FAIL). ``scorer`` defaults to the one registered for the function's type. A task
+    runs up to ``async_capacity`` calls at a time, so a scorer must bear calls from several threads. Each call has
+    its own time from its start; one that overruns it is given up, but counts until it ends.
+
+    On a stream a function that ``carries`` its rows over micro-batches gets full batches, or what there is after
+    ``max_wait_ms``; the query must be in append mode.
     """
     for name in spec.input_fields:
         require_column(df.schema, name, f"function {spec.function_id!r} input")
     if batch_by is not None:
         require_column(df.schema, batch_by, f"function {spec.function_id!r} batch_by")
-    in_flight = 1 if scorer is not None else spec.async_capacity
     factory = scorer if scorer is not None else scorer_factory(spec)
     out_schema = _output_schema(df, spec, declared)
     targets = {n: to_arrow_type(out_schema[n].dataType) for n in spec.output_fields}
     arrow_schema = pa.schema([(f.name, to_arrow_type(f.dataType)) for f in out_schema.fields])
+    names = df.columns
+    carried = df.isStreaming and spec.carries and batch_by is None
 
     def columns_of(rows: int, outcome: Callable[[], Any]) -> dict[str, pa.Array] | None:
         """One batch's outputs; None to leave its rows out."""
@@ -270,6 +335,7 @@ def infer(
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = factory(spec)
         timeout = spec.async_timeout_ms / 1000
+        places = _Places(spec.async_capacity, timeout)
         waiting: deque[tuple[list, int, _Call]] = deque()  # calls on the way, across chunks
         chunks: deque[tuple[pa.Table, list, list]] = deque()
 
@@ -281,18 +347,18 @@ def infer(
             while chunks and len(chunks[0][1]) == len(chunks[0][2]):
                 yield from out_of(*chunks.popleft())
 
-        for table, cuts in _chunks(frames, spec.batch_size, batch_by):
+        for table, cuts in _collected(frames, names) if carried else _chunks(frames, spec.batch_size, batch_by):
             inputs = table.select(list(spec.input_fields)).to_pandas(types_mapper=_PANDAS.get)
             results: list[dict | None] = []
             chunks.append((table, cuts, results))
             for start, stop in cuts:
-                while len(waiting) >= in_flight:
+                while len(waiting) >= spec.async_capacity:
                     settle()
-                waiting.append((results, stop - start, _Call(score, _part(inputs, start, stop), timeout)))
+                waiting.append((results, stop - start, _Call(score, _part(inputs, start, stop), timeout, places)))
             yield from finished()
         while waiting:
             settle()
         yield from finished()
 
     ship_package(df.sparkSession)
-    return df.mapInArrow(run, out_schema)
+    return (collect_batches(df, spec) if carried else df).mapInArrow(run, out_schema)

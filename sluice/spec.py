@@ -300,6 +300,16 @@ class InferenceSpec:
         if min(self.batch_size, self.async_capacity, self.async_timeout_ms) <= 0:
             raise ConfigError(f"function {self.function_id!r}: sizes must be positive")
 
+    @property
+    def carries(self) -> bool:
+        """Whether a stream's rows wait for a full batch over micro-batches (``"carry": true`` in the extra config)."""
+        return bool(self.extra_config.get("carry"))
+
+    @property
+    def lanes(self) -> int:
+        """How many batches fill up side by side then."""
+        return int(self.extra_config.get("lanes") or 1)
+
     @property
     def headers(self) -> dict[str, str]:
         return {str(k): str(v) for k, v in (self.extra_config.get("headers") or {}).items()}

@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Row
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -70,3 +71,61 @@ class Sessions(StatefulProcessor):
         if self.open.exists():
             yield self._out(key, tuple(self.open.get()))
             self.open.clear()
+
+
+class BatchCollector(StatefulProcessor):
+    """Rows of one lane, given out ``size`` at a time, or fewer when the first of them has waited ``wait_ms``.
+
+    The rows of a batch that is not full are state, so they are there again after a restart, and are given out once.
+    A batch's rows follow each other under its lane and number.
+    """
+
+    def __init__(self, size: int, wait_ms: int, row: T.StructType):
+        self.size, self.wait_ms, self.row = size, wait_ms, row
+        self.made = Row("lane", "number", *row.names)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", self.row)
+        self.due = handle.getValueState("due", "at long")
+        self.given = handle.getValueState("given", "n long")
+
+    def _next(self) -> int:
+        n = self.given.get()[0] if self.given.exists() else 0
+        self.given.update((n + 1,))
+        return n
+
+    def _out(self, key, rows: list[tuple]) -> Iterator[Row]:
+        number = self._next()
+        for row in rows:
+            yield self.made(key[0], number, *row)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = list(map(tuple, self.held.get())) if self.held.exists() else []
+        old = len(held)
+        for r in rows:
+            held.append(tuple(r[name] for name in self.row.names))
+            if len(held) == self.size:
+                yield from self._out(key, held)
+                held, old = [], 0
+        self._hold(held, timerValues.getCurrentProcessingTimeInMs(), bool(old))
+
+    def _hold(self, rows: list[tuple], now: int, since_before: bool) -> None:
+        """Keep what is left; its time counts from its first row, and goes on if that was here before."""
+        if not since_before and self.due.exists():
+            self.handle.deleteTimer(self.due.get()[0])
+            self.due.clear()
+        if not rows:
+            self.held.clear()
+            return
+        self.held.put(rows)
+        if not since_before:
+            self.due.update((now + self.wait_ms,))
+            self.handle.registerTimer(now + self.wait_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.due.clear()
+        if self.held.exists():
+            rows = list(map(tuple, self.held.get()))
+            self.held.clear()
+            yield from self._out(key, rows)

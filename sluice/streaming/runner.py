@@ -42,18 +42,24 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(lines[0][0])["id"]
 
 
-def _needs_timers(job: JobSpec) -> bool:
-    """Whether a step keeps state that only one kind of state store takes."""
-    rules = [AggregateRule.from_json(s.config or {}) for s in job.steps if s.type == "aggregate"]
-    return any(r.final and r.window.kind == "session" for r in rules)
-
+def _own_settings(job: JobSpec, trigger: dict | None) -> dict[str, str]:
+    """What the session must have while the job's query starts, which copies it.
 
-def _start(spark: SparkSession, job: JobSpec, writer) -> StreamingQuery:
-    # A query copies the session's settings when it starts, so the job's own are set for that moment
-    # only. A parallelism of 1, the default, says nothing and leaves the session's number.
+    A parallelism of 1, the default, says nothing and leaves the session's number.
+    """
     own = {_PARTITIONS: str(job.parallelism)} if job.parallelism > 1 else {}
-    if _needs_timers(job):
+    carries = any(s.function is not None and s.function.carries for s in job.steps)
+    rules = [AggregateRule.from_json(s.config or {}) for s in job.steps if s.type == "aggregate"]
+    if carries or any(r.final and r.window.kind == "session" for r in rules):
         own[STORE[0]] = STORE[1]
+    if carries and trigger and {"availableNow", "once"} & set(trigger):
+        # A run up to what is there now would wait for the clock in empty batches without an end.
+        own["spark.sql.streaming.noDataMicroBatches.enabled"] = "false"
+    return own
+
+
+def _start(spark: SparkSession, job: JobSpec, writer, trigger: dict | None) -> StreamingQuery:
+    own = _own_settings(job, trigger)
     before = {name: spark.conf.get(name, None) for name in own}
     for name, value in own.items():
         spark.conf.set(name, value)
@@ -133,7 +139,7 @@ def run_stream(
     writer = rows.writeStream.foreachBatch(write).outputMode(output_mode)
     trig = _trigger(job, trigger)
     writer = writer.options(**options).queryName(job.name)
-    return _start(spark, job, writer.trigger(**trig) if trig else writer)
+    return _start(spark, job, writer.trigger(**trig) if trig else writer, trig)
 
 
 def run_job(spark: SparkSession, name: str, config: ConfigTables, checkpoint: str, **options) -> StreamingQuery:
