@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from checks.base import SPARSE, check, register, sparse_events, table
-from sluice import InferenceSpec, TableSchema, build_requests, dedup, infer, latest_per_key, lookup_enrich, parse_responses
+from sluice import InferenceSpec, TableSchema, build_requests, dedup, heavy_keys, infer, latest_per_key, lookup_enrich, parse_responses
 
 _OUTPUTS = TableSchema.from_json(
     {"table": "scored", "fields": [{"name": "score", "type": "DOUBLE"}, {"name": "high", "type": "BOOLEAN"}]}
@@ -142,6 +142,20 @@ def lookup_large(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "o_custkey", "o_orderdate")
 
 
+_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 7 WHEN l_orderkey % 3 = 1 THEN l_suppkey END"
+
+
+@check(
+    f"SELECT l_orderkey, l_linenumber, key, s_name FROM (SELECT l_orderkey, l_linenumber, {_HOT} AS key FROM lineitem) l "
+    "LEFT JOIN supplier ON key = s_suppkey"
+)
+def lookup_hot(spark, sf):
+    """A third of the rows have one key, a third none."""
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.expr(_HOT).cast("long").alias("key"))
+    suppliers = table(spark, sf, "supplier").withColumn("s_suppkey", F.col("s_suppkey").cast("long"))
+    return lookup_enrich(rows, suppliers, {"key": "s_suppkey"}, ["s_name"], heavy_keys(rows, ["key"]))
+
+
 @check("SELECT DISTINCT user_id, event_type FROM events")
 def dedup_keys(spark, sf):
     return dedup(table(spark, sf, "events").select("user_id", "event_type"), ["user_id", "event_type"])

@@ -1,7 +1,7 @@
 """Configuration-driven stream and batch processing on Spark."""
 
 from sluice.operators.aggregate import aggregate_rows
-from sluice.operators.enrich import dedup, latest_per_key, lookup_enrich
+from sluice.operators.enrich import dedup, heavy_keys, latest_per_key, lookup_enrich
 from sluice.operators.filter import filter_rows
 from sluice.operators.inference import infer, register_scorer
 from sluice.operators.payloads import build_requests, parse_responses
@@ -45,6 +45,7 @@ __all__ = [
     "dedup",
     "ensure_table",
     "filter_rows",
+    "heavy_keys",
     "infer",
     "latest_per_key",
     "lookup_enrich",
