@@ -377,3 +377,26 @@ def sink_not_null_quarantine(spark, sf):
     read = spark.read.schema(rows.schema)
     kept = read.parquet(path).select(*rows.columns, F.lit(False).alias("rejected"))
     return kept.unionByName(read.parquet(f"{path}__rejected").select(*rows.columns, F.lit(True).alias("rejected")))
+
+
+@check(
+    "SELECT event_type, count(*) AS n, round(sum(value), 6) AS total FROM events WHERE user_id % 2 = 0 "
+    "GROUP BY event_type, (epoch_us(ts) // 86400000000)"
+)
+def job_decodes_what_it_needs(spark, sf):
+    """Days of a job that looks at four of the declared fields; the others stay in the messages."""
+    day = {
+        "keyFields": ["event_type"], "timeField": "ts", "window": {"sizeSeconds": 86400},
+        "aggregations": [{"output": "n", "op": "count"}, {"output": "total", "op": "sum", "input": "value"}],
+    }
+    wide = TableSchema.from_json(
+        {"table": "days", "fields": [f.__dict__ for f in _RATED.fields] + [{"name": f"unused_{i}", "type": "STRING"} for i in range(20)]}
+    )
+    keep = {"conditions": [{"field": "heavy", "op": "eq", "value": True}]}
+    job = _job(spark, "job_decodes_what_it_needs", wide, (StepSpec("filter", keep), StepSpec("aggregate", day)))
+    message = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"), "event_type", "value", (F.col("user_id") % 2 == 0).alias("heavy"),
+        *(F.lit("long text").alias(f"unused_{i}") for i in range(20)),
+    )
+    messages = table(spark, sf, "events").select(F.to_json(message).alias("value"))
+    return rounded(rows_of(job, messages), 6, "total")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from sluice.operators.aggregate import WINDOW_COLUMN
 from sluice.operators.inference import ScorerFactory
 from sluice.plans.chain import Chain
+from sluice.plans.needs import needed_fields
 from sluice.operators.enrich import latest_per_key
 from sluice.schema import check_on_null, conform, ref
 from sluice.session import apply_conf, path_exists, remove_path
@@ -34,8 +35,12 @@ def rows_of(
     keep_hidden: bool = False,
     chain: Chain | None = None,
 ) -> DataFrame:
-    """Messages decoded and taken through the job's steps, or those of ``chain``, before conformance."""
-    decoded = decode_json(messages, job.schema, on_bad_record)
+    """Messages decoded and taken through the job's steps, or those of ``chain``, before conformance.
+
+    Fields that the job's steps make nothing of are not looked for in the messages, and null; a ``chain`` may look at any.
+    """
+    fields = needed_fields(job, sequence_fields(job)) if chain is None else None
+    decoded = decode_json(messages, job.schema, on_bad_record, fields=fields)
     return (chain or Chain.from_job(job, scorers)).apply(decoded, keep_hidden)
 
 

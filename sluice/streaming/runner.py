@@ -172,7 +172,8 @@ def run_reloading(
 ) -> StreamingQuery:
     """Run a job whose rules are read again for every micro-batch.
 
-    Only row-by-row steps can change under way, so a job with an aggregation is refused.
+    A table without a primary key is appended to, as in :func:`run_stream`. Only row-by-row steps can change under way, so
+    a job with an aggregation is refused.
     """
     apply_conf(spark)
     ship_package(spark)
@@ -184,7 +185,11 @@ def run_reloading(
         if any(s.type == "aggregate" for s in job.steps):
             raise ConfigError(f"job {name!r}: rules of a job with an aggregation cannot be reloaded")
         rows = rows_of(job, messages, scorers, mode, keep_hidden=True)
-        table_of(session, job).upsert(rows, batch_id, _run_id(session, checkpoint), sequence(job, rows), on_null)
+        run_id = _run_id(session, checkpoint)
+        if job.schema.primary_keys:
+            table_of(session, job).upsert(rows, batch_id, run_id, sequence(job, rows), on_null)
+        else:
+            append_batch(job, rows, batch_id, run_id, on_null)
 
     writer = source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).queryName(f"{name}-reloading")
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice import Chain, ConfigError, TableSchema, decode_json, dedup, ensure_table, lookup_enrich, read_files, run_batch, run_job, run_reloading, run_stream, start_quarantine
 from sluice.plans.job import batch_result, table_of
+from sluice.sinks import ddl
 from sluice.sources.messages import kafka_options
 from sluice.spec import JobSpec, KafkaSpec, LakeSpec, StepSpec
 
@@ -255,12 +256,13 @@ def test_processing_time_windows(spark, tmp_path):
     assert emitted(spark, tmp_path)[:2] == [(1, 2.0, 2, None), (1, 4.0, 2, None)]
 
 
-def test_rules_are_read_again_for_each_batch(spark, tmp_path):
-    state = {"least": 0}
+@pytest.mark.parametrize("keys", [["sensor_id"], []])
+def test_rules_are_read_again_for_each_batch(spark, tmp_path, keys):
+    state, schema = {"least": 0}, {**SAMPLE_SCHEMA, "primaryKeys": keys}
 
     def load(session):
         rule = '{"conditions":[{"field":"reading","op":"gt","value":%d}]}' % state["least"]
-        return config_tables(session, [job_row(warehouse=tmp_path / "wh")], step_rows(steps=[("filter", None, rule)]), [function_row()])
+        return config_tables(session, [job_row(warehouse=tmp_path / "wh", schema=schema)], step_rows(steps=[("filter", None, rule)]), [function_row()])
 
     def run(name, *rows):
         put(tmp_path / "in", name, *messages(*rows))
@@ -270,7 +272,9 @@ def test_rules_are_read_again_for_each_batch(spark, tmp_path):
     run("a.txt", (1, 5, "10:00:00"))
     state["least"] = 10
     run("b.txt", (2, 5, "10:00:00"), (3, 15, "10:00:00"))
-    assert [r[0] for r in table_rows(spark, load(spark).load("sensors"))] == [1, 3]
+    job = load(spark).load("sensors")
+    table = table_of(spark, job).read() if keys else spark.read.parquet(ddl.table_path(job.lake, job.schema))
+    assert sorted(r.sensor_id for r in table.collect()) == [1, 3]
 
 
 def test_second_aggregation_on_a_stream(spark, tmp_path):
