@@ -5,9 +5,9 @@ a class goes on. Bands of MinHash samples name candidates. A second set of sampl
 bins, is folded into an odd sketch: a bitmap in which each sample flips one bit. The bits in which two sketches differ
 tell how many samples differ, and most precisely where few do; candidates below the threshold by more than chance
 allows are dropped by it, and the rest is confirmed on the full sets. In a bucket candidates are tied to a pivot and not to
-each other. Only documents that are not yet in one component are compared again, with further pivots from outside the
-bucket's main component, until none is left to compare: links are complete for all candidates, and no group of copies is
-expanded into its pairs.
+each other; the pivot is the member that shares most buckets, which is near to most. What is then still outside of a bucket's
+largest component is compared with the members of other components, in the first bucket that both are in: links are
+complete for all candidates, and no group of copies is expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sluice.llm import hashing
 from sluice.llm.common import Slice, list_array, only, slices, written
@@ -176,16 +175,23 @@ class _Search:
 
     def __init__(self, read: DataFrame, reps: DataFrame, how: MinHash):
         self.how = how
-        self.sketches = reps.select("id", "n", "sketch")
-        keys = reps.select("id", F.posexplode("bands").alias("band", "key")).select("id", F.xxhash64("band", "key").alias("bucket"))
-        shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("pivot")).filter("m > 1")
-        self.members = written(keys.join(shared.select("bucket", "pivot"), "bucket"), "buckets")
+        self.reps = reps
+        keys = reps.select("id", F.posexplode("bands").alias("band", "key")).select("id", "band", F.xxhash64("band", "key").alias("bucket"))
+        # Dealt once: counting the members of a bucket and finding them again read the same shuffle.
+        keys = keys.repartition("bucket")
+        shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+        self.members = written(keys.join(shared, "bucket"), "buckets")
         # The full sets of all documents that share a bucket, in one second pass over the texts.
         texts = only(read, written(self.members.select(F.col("id").alias("doc_id")).distinct(), "ids"), "doc_id")
         self.sets = written(texts.mapInArrow(lambda b: _sets(b, how), "id long, shingles array<long>"), "sets")
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
+    def _pivots(self) -> DataFrame:
+        """(bucket, pivot): the member that meets most others in its buckets, as the text that near copies were made of does."""
+        met = self.members.groupBy("id").agg(F.sum("m").alias("met"))
+        best = F.max_by("id", F.struct("met", -F.col("id")))
+        return self.members.join(met, "id").groupBy("bucket").agg(best.alias("pivot"))
+
     def _named(self, rows: DataFrame, name: str) -> DataFrame:
         """``rows`` with the component of ``name`` as ``name_c``."""
         if self.labels is None:
@@ -193,8 +199,10 @@ class _Search:
         found = self.labels.select(F.col("node").alias(name), F.col("component").alias("_c"))
         return rows.join(found, name, "left").withColumn(f"{name}_c", F.coalesce("_c", name)).drop("_c")
 
-    def _with_sketch(self, rows: DataFrame, name: str) -> DataFrame:
-        side = self.sketches.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"))
+    def _with_sketch(self, rows: DataFrame, name: str, *more: str) -> DataFrame:
+        side = self.reps.select(
+            F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}"), *(F.col(c).alias(f"{c}_{name}") for c in more)
+        )
         return rows.join(side, name)
 
     @property
@@ -208,21 +216,30 @@ class _Search:
         return sketch_distance(F.col("s_a"), F.col("s_b"), self.how.bits // 64)
 
     def confirm(self, pairs: DataFrame) -> None:
-        """Add the links among ``pairs`` (a, b) that hold on the full sets."""
+        """Join the components that ``pairs`` (a, b) link, as far as they hold on the full sets."""
         side = lambda x: self.sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
         percent = self.how.percent
         both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
         links = written(both.mapInArrow(lambda b: _confirm(b, percent), "a long, b long"), "confirmed")
-        if not links.isEmpty():
-            self.links = links if self.links is None else self.links.unionByName(links)
-            self.labels = components(self.links)
+        if links.isEmpty():
+            return
+        if self.labels is None:
+            self.labels = components(links)
+            return
+        # Only the components found so far are joined further, by the few links among them.
+        among = self._named(self._named(links, "a"), "b").select(F.col("a_c").alias("a"), F.col("b_c").alias("b"))
+        joined = components(written(among.filter("a <> b").distinct(), "links-among"))
+        further = joined.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+        moved = self.labels.join(further, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+        self.labels = written(moved.unionByName(joined), "labels")
 
     def _across(self, pairs: DataFrame) -> DataFrame:
         return self._named(self._named(pairs, "a"), "b").filter("a_c <> b_c").select("a", "b")
 
     def run(self) -> DataFrame | None:
         """Components (node, component) of all links, or none."""
-        to_pivot = self.members.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+        of_pivot = self.members.select("id", "bucket").join(self._pivots(), "bucket").filter("id <> pivot")
+        to_pivot = of_pivot.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
         near = self._with_sketch(self._with_sketch(to_pivot, "a"), "b").filter(self._possible)
         first = written(near.select("a", "b", self._distance().alias("bits")), "pairs")
         if not first.isEmpty():
@@ -231,31 +248,27 @@ class _Search:
             rest = written(self._across(first), "pairs")
             if not rest.isEmpty():
                 self.confirm(rest)
-        done = self.members.filter("id = pivot").select("bucket", "id")
-        width = 8
-        while True:
-            left = self.members.select("bucket", "id").join(done, ["bucket", "id"], "left_anti")
-            named = self._named(left, "id")
-            open_ = named.groupBy("bucket").agg(
-                F.min("id_c").alias("low"), F.max("id_c").alias("high"), F.min(F.struct("id", "id_c"))["id_c"].alias("main")
-            ).filter("low < high")
-            left = named.join(open_.select("bucket", "main"), "bucket").select("bucket", F.col("id").alias("b"), F.col("id_c").alias("b_c"), "main")
-            left = written(self._with_sketch(left, "b"), "open-buckets")
-            others = left.filter("b_c <> main")
-            if others.isEmpty():
-                return self.labels
-            rank = F.row_number().over(Window.partitionBy("bucket").orderBy("b"))
-            pivots = others.withColumn("_r", rank).filter(F.col("_r") <= width)
-            pivots = written(
-                pivots.select("bucket", F.col("b").alias("a"), F.col("b_c").alias("a_c"), F.col("n_b").alias("n_a"), F.col("s_b").alias("s_a")), "pivots"
-            )
-            # Compared where they meet: a pair that sketches rule out is never written.
-            met = pivots.alias("x").join(
-                left.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & F.expr("a_c <> b_c") & self._possible
-            )
-            self.confirm(met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-            done = written(done.unionByName(pivots.select("bucket", F.col("a").alias("id"))), "compared")
-            width *= 16
+        named = self._named(self.members.select("bucket", "band", "id"), "id")
+        sizes = named.groupBy("bucket", "id_c").agg(F.count(F.lit(1)).alias("m"))
+        largest = F.max_by("id_c", F.struct("m", -F.col("id_c"))).alias("main")
+        apart = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), largest).filter("parts > 1")
+        left = named.join(apart.select("bucket", "main"), "bucket")
+        left = left.select("bucket", "band", F.col("id").alias("b"), F.col("id_c").alias("b_c"), "main")
+        left = written(self._with_sketch(left, "b", "bands"), "open-buckets")
+        others = left.filter("b_c <> main")
+        if others.isEmpty():
+            return self.labels
+        # What is outside of a bucket's largest component against all that is in another one. Compared where they meet, so
+        # that a pair that sketches rule out is never written, and in the first of its common buckets only.
+        names = {"b": "a", "b_c": "a_c", "n_b": "n_a", "s_b": "s_a", "bands_b": "bands_a"}
+        ours = others.select("bucket", *(F.col(c).alias(name) for c, name in names.items()))
+        meets = F.col("x.bucket") == F.col("y.bucket")
+        # Two outside of the largest meet from both sides; one is enough.
+        once = F.expr("a_c <> b_c") & ((F.col("b_c") == F.col("y.main")) | F.expr("a > b"))
+        band = F.array_position(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), F.lit(True)) - 1
+        met = ours.alias("x").join(left.alias("y"), meets & once & self._possible & (band == F.col("y.band")))
+        self.confirm(met.select("a", "b"))
+        return self.labels
 
 
 def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
