@@ -181,16 +181,27 @@ class _Search:
         keys = keys.repartition("bucket")
         shared = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
         self.members = written(keys.join(shared, "bucket"), "buckets")
+        total = self.members.groupBy("id").agg(F.sum("m").alias("met"))
+        self.met = written(self.members.select("id", "bucket").join(total, "id"), "met")
         # The full sets of all documents that share a bucket, in one second pass over the texts.
         texts = only(read, written(self.members.select(F.col("id").alias("doc_id")).distinct(), "ids"), "doc_id")
         self.sets = written(texts.mapInArrow(lambda b: _sets(b, how), "id long, shingles array<long>"), "sets")
         self.labels: DataFrame | None = None
 
-    def _pivots(self) -> DataFrame:
-        """(bucket, pivot): the member that meets most others in its buckets, as the text that near copies were made of does."""
-        met = self.members.groupBy("id").agg(F.sum("m").alias("met"))
-        best = F.max_by("id", F.struct("met", -F.col("id")))
-        return self.members.join(met, "id").groupBy("bucket").agg(best.alias("pivot"))
+    def _of_pivot(self) -> DataFrame:
+        """(a, a_c, b, b_c, met): each member with the pivot of each of its buckets, and the components of both.
+
+        The pivot is the member that meets most others in its buckets, as the text that near copies were made of does.
+        """
+        members = self._named(self.met, "id")
+        best = F.max_by(F.struct("id", "id_c", "met"), F.struct("met", -F.col("id"))).alias("p")
+        pivots = members.groupBy("bucket").agg(best)
+        pairs = members.select("bucket", F.col("id").alias("a"), F.col("id_c").alias("a_c")).join(pivots, "bucket")
+        return pairs.select("a", "a_c", F.col("p.id").alias("b"), F.col("p.id_c").alias("b_c"), F.col("p.met").alias("met")).filter("a <> b")
+
+    def _near(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs`` (a, b) that sketches don't rule out."""
+        return self._with_sketch(self._with_sketch(pairs, "a"), "b").filter(self._possible).select("a", "b")
 
     def _named(self, rows: DataFrame, name: str) -> DataFrame:
         """``rows`` with the component of ``name`` as ``name_c``."""
@@ -212,9 +223,6 @@ class _Search:
         differ = sketch_distance(F.col("s_a"), F.col("s_b"), self.how.bits // 64)
         return (100 * least >= self.how.percent * most) & (differ <= self.how.most_bits(F.col("n_a"), F.col("n_b")))
 
-    def _distance(self) -> Column:
-        return sketch_distance(F.col("s_a"), F.col("s_b"), self.how.bits // 64)
-
     def confirm(self, pairs: DataFrame) -> None:
         """Join the components that ``pairs`` (a, b) link, as far as they hold on the full sets."""
         side = lambda x: self.sets.select(F.col("id").alias(x), F.col("shingles").alias(f"set_{x}"))
@@ -233,21 +241,11 @@ class _Search:
         moved = self.labels.join(further, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
         self.labels = written(moved.unionByName(joined), "labels")
 
-    def _across(self, pairs: DataFrame) -> DataFrame:
-        return self._named(self._named(pairs, "a"), "b").filter("a_c <> b_c").select("a", "b")
-
     def run(self) -> DataFrame | None:
         """Components (node, component) of all links, or none."""
-        of_pivot = self.members.select("id", "bucket").join(self._pivots(), "bucket").filter("id <> pivot")
-        to_pivot = of_pivot.select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
-        near = self._with_sketch(self._with_sketch(to_pivot, "a"), "b").filter(self._possible)
-        first = written(near.select("a", "b", self._distance().alias("bits")), "pairs")
-        if not first.isEmpty():
-            # A document's most similar pivot first; most other pairs lie in one component after that.
-            self.confirm(first.groupBy("a").agg(F.min(F.struct("bits", "b")).getField("b").alias("b")))
-            rest = written(self._across(first), "pairs")
-            if not rest.isEmpty():
-                self.confirm(rest)
+        # A document's best pivot first; most of its other pivots are in the same component after that.
+        self.confirm(self._near(self._of_pivot().groupBy("a").agg(F.max_by("b", F.struct("met", -F.col("b"))).alias("b"))))
+        self.confirm(self._near(self._of_pivot().filter("a_c <> b_c").select("a", "b").distinct()))
         named = self._named(self.members.select("bucket", "band", "id"), "id")
         sizes = named.groupBy("bucket", "id_c").agg(F.count(F.lit(1)).alias("m"))
         largest = F.max_by("id_c", F.struct("m", -F.col("id_c"))).alias("main")
