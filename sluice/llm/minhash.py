@@ -251,8 +251,10 @@ class _Search:
         largest = F.max_by("id_c", F.struct("m", -F.col("id_c"))).alias("main")
         apart = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), largest).filter("parts > 1")
         left = named.join(apart.select("bucket", "main"), "bucket")
-        left = left.select("bucket", "band", F.col("id").alias("b"), F.col("id_c").alias("b_c"), "main")
-        left = written(self._with_sketch(left, "b", "bands"), "open-buckets")
+        # A document is in as many buckets as there are bands at most; its sketch is fetched once for all of them.
+        spots = left.groupBy(F.col("id").alias("b"), F.col("id_c").alias("b_c")).agg(F.collect_list(F.struct("bucket", "band", "main")).alias("spots"))
+        left = self._with_sketch(spots, "b", "bands").select("*", F.inline("spots")).drop("spots")
+        left = written(left, "open-buckets")
         others = left.filter("b_c <> main")
         if others.isEmpty():
             return self.labels
