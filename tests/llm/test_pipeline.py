@@ -36,7 +36,7 @@ def test_stages_take_effect_one_on_another(spark, given):
 def test_run_and_registration(spark, given, monkeypatch):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "near-duplicates", "decontamination", "mixing", "sharding"]
     names = entry.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)} and "pipeline" in names
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
