@@ -57,6 +57,15 @@ def only(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(sized(ids), key, "left_semi")
 
 
+#: The whole input row as one column, so that none of its names can meet those an operator adds beside it.
+ROW = "row"
+
+
+def held(docs: DataFrame, **beside: Column) -> DataFrame:
+    """``docs`` with each row whole in the struct column ``ROW``, and the columns ``beside`` it, which are made of the row's."""
+    return docs.select(F.struct("*").alias(ROW), *(c.alias(name) for name, c in beside.items()))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once: inside lambdas Catalyst may inline it otherwise."""
     return F.transform(F.array(value), body)[0]

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sluice.llm.common import WORD, let, sized, written
+from sluice.llm.common import ROW, WORD, held, let, sized, written
 
 #: Of each three sources in order, their weights.
 WEIGHTS = (5, 2, 1)
@@ -329,16 +329,18 @@ def _copies(pieces: DataFrame, block_words: int) -> DataFrame:
 
 def mixed(docs: DataFrame, block_words: int = 4096, **options) -> DataFrame:
     """``docs`` as whole documents, as often as ``_copies`` says. Ids may be null or repeat: rows of one id, source and size
-    share out their copies among them; texts without words are not drawn."""
+    share out their copies among them; texts without words are not drawn. All columns stay as they are, whatever their names; an
+    empty table gives no rows."""
     copies = _copies(draw(docs, block_words, **options), block_words)
     keys = ["_id", "_source", "_size"]
     named = copies.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "start", "copies")
     per_key = named.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("start", "copies"))), lambda x: x["copies"]).alias("_copies"))
     per_key = written(per_key.filter(F.exists("_copies", lambda n: n > 0)), "mix-copies")
-    own = docs.withColumns({"_d": F.col("doc_id").cast("long"), "_s": F.col("source").cast("string"), "_n": word_count()})
+    text = F.xxhash64(F.col("text").cast("string"))
+    own = held(docs, _d=F.col("doc_id").cast("long"), _s=F.col("source").cast("string"), _n=word_count(), _text=text)
     same = F.col("_d").eqNullSafe(F.col("_id")) & F.col("_s").eqNullSafe(F.col("_source")) & (F.col("_n") == F.col("_size"))
     one = own.join(sized(per_key.filter(F.size("_copies") == 1)), same).withColumn("_nth", F.lit(1))
     some = own.join(sized(per_key.filter(F.size("_copies") > 1)), same)
-    some = some.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(F.col("text").cast("string")))))
+    some = some.withColumn("_nth", F.row_number().over(Window.partitionBy(*keys).orderBy("_text")))
     kept = one.unionByName(some).withColumn("_times", F.coalesce(F.get("_copies", F.col("_nth") - 1), F.lit(0))).filter("_times > 0")
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(f"{ROW}.*")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import written
+from sluice.llm.common import ROW, held, written
 
 #: Hash bits: the first 15 hexadecimal digits of an MD5 sum, so that any SQL engine can name the same shard.
 BITS = 60
@@ -79,11 +79,11 @@ def shard(docs: DataFrame, limit_bytes: int = 256 << 20) -> DataFrame:
     """``docs`` with ``shard`` (its prefix bits as text), ``depth``, ``shard_bytes`` and ``shard_rows``.
 
     Rows are placed by a hash of id and text, so a null id or text is a value like any other, equal rows share a
-    shard, and the assignment depends on the rows alone. Input columns of these four names are replaced. An empty
+    shard, and the assignment depends on the rows alone. Input columns of these four names are replaced, all others stay. An empty
     table gives no rows; a shard above the limit holds rows of one hash only.
     """
     added = ["shard", "depth", "shard_bytes", "shard_rows"]
-    own = docs.drop(*added).withColumns({"_hash": row_hash(), "_bytes": text_bytes()})
+    own = held(docs, _hash=row_hash(), _bytes=text_bytes())
     buckets = directory(written(own.select("_hash", "_bytes"), "hashes"), limit_bytes)
     out = own.withColumn("_at", F.lit(None).cast("struct<depth:int,prefix:bigint,shard_bytes:bigint,shard_rows:bigint>"))
     for (depth,) in sorted(buckets.select("depth").distinct().collect()):  # at most one value per hash bit
@@ -97,7 +97,7 @@ def shard(docs: DataFrame, limit_bytes: int = 256 << 20) -> DataFrame:
         )
     bits = F.lpad(F.bin("_at.prefix"), F.col("_at.depth"), "0")
     return out.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in added),
+        *(F.col(f"{ROW}.`{c}`") for c in docs.columns if c.lower() not in added),
         F.when(F.col("_at.depth") == 0, "").otherwise(bits).alias("shard"),
         "_at.depth",
         "_at.shard_bytes",
