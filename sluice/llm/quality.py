@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import GAP, let, written
+from sluice.llm.common import GAP, ROW, held, let, written
 
 WINDOW = 5
 SYMBOLS = "[#*$%&|<>]"
@@ -270,11 +270,14 @@ def judged(docs: DataFrame, labels: DataFrame, learner: Learner = Learner()) ->
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, learner: Learner = Learner()) -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged."""
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
-        labels.filter("quality IS NOT NULL").select("doc_id").distinct(), "doc_id", "left_semi"
-    )
-    rules = learn_rules(with_stats(marked).select("doc_id", "_stats"), labels, learner)
-    judged_rows = with_stats(docs)
+    """The rows of ``docs`` that pass, with all of their columns as they are, whatever their names.
+
+    As ``judged``: null texts and short ones go, a null id can have no label, rows that share an id are judged one by one
+    and stay as often as they pass. An empty table gives none.
+    """
+    # Rows are written with their statistics: those are taken once, and no text is shuffled to meet its label.
+    rows = held(docs, doc_id=F.col("doc_id").cast("long"), text=F.col("text").cast("string"))
+    rows = written(with_stats(rows).select(ROW, "doc_id", "_stats"), "quality-rows")
+    rules = learn_rules(rows.select("doc_id", "_stats"), labels, learner)
     kept = ~F.col("_stats.base_failed") & verdict(rules, F.col("_stats.features"))
-    return judged_rows.filter(kept).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return rows.filter(kept).select(f"{ROW}.*")

@@ -1,12 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from clashes import CLASHING
 from sluice.llm.common import prepare
 
 SF = "/root/testdata/sf0.001"
 LONG = " ".join(f"word{i % 911} tail{i % 13}" for i in range(30_000))
 
-
 @pytest.fixture(scope="session")
 def given(spark):
     """The documents of the smallest size."""
@@ -33,8 +33,7 @@ def odd(spark, given):
         (10_005, "snow ☃ naïve \U0001f600 Été\x0b\x0c\r\n x", "fr", "é"),
     ]
     made = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
-    clash = {n: F.lit(7) for n in ("id", "shard", "depth", "bucket", "kept", "rep", "_hash", "_bytes", "size", "start", "words", "_stats", "n", "removed", "component")}
-    return made.withColumns(clash)
+    return made.withColumns({n: F.lit(7) for n in CLASHING})
 
 
 @pytest.fixture(scope="session")

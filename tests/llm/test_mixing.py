@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from clashes import unharmed
 from sluice.llm import mixing
 
 
@@ -56,7 +57,8 @@ def test_targets_are_met_to_the_word(given):
 def test_odd_rows(odd, nothing):
     check(odd, block_words=64, shard_words=5000)
     assert mixing.taken(mixing.draw(nothing)).count() == 0
-    assert mixing.mixed(odd).columns == odd.columns and mixing.mixed(nothing).count() == 0
+    drawn = mixing.mixed(odd)
+    assert drawn.columns == odd.columns and drawn.count() > 0 and unharmed(drawn) and mixing.mixed(nothing).count() == 0
 
 
 def test_documents_come_as_often_as_they_are_taken(given):

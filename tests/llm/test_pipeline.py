@@ -2,6 +2,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from clashes import unharmed
 from sluice.llm import decontaminate, minhash, mixing, quality
 from sluice.llm.common import written
 
@@ -41,8 +42,20 @@ def test_run_and_registration(spark, given, monkeypatch):
 
 
 def test_stages_take_empty_and_odd_tables(spark, given, odd, nothing):
-    plain = [c for c in given.columns]
-    for docs in (nothing, odd.select(plain)):
-        for _, stage in corpus_pipeline.STAGES:
-            docs = written(stage(spark, docs, SF), "stage-test")
-        assert docs.count() >= 0
+    docs = nothing
+    for _, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, SF), "stage-test")
+    assert docs.count() == 0 and {*given.columns, "shard"} <= {*docs.columns}
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, written(stage(spark, docs, SF), "stage-test")
+        if name == "sharding":
+            assert docs.count() == before.count() and unharmed(docs, "shard", "depth")
+        else:
+            assert docs.columns == odd.columns and unharmed(docs)
+            assert docs.exceptAll(before).isEmpty() or name == "mixing"
+        if name == "quality rules":
+            # Null, empty and short texts go; of the rows that are equal, both stay.
+            assert docs.filter("text IS NULL OR length(text) < 20").isEmpty() and docs.filter("doc_id = 10001").count() == 2
+        if name == "near-duplicates":
+            assert docs.filter("doc_id = 10001").count() == 1 and docs.filter("doc_id = 10002").isEmpty()

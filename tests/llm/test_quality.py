@@ -3,6 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from clashes import unharmed
 from sluice.llm import quality
 
 SF = "/root/testdata/sf0.001"
@@ -62,6 +63,6 @@ def test_without_use_of_labels(spark, odd, nothing):
     assert quality.judged(nothing, labels(spark)).count() == 0
     unlabelled = spark.createDataFrame([(1, None), (None, 0), (2, 1), (2, 1)], "doc_id long, quality int")
     kept = quality.keep_good(odd, unlabelled)
-    assert kept.columns == odd.columns and kept.filter("doc_id = 10001").count() == 2
+    assert kept.columns == odd.columns and kept.filter("doc_id = 10001").count() == 2 and unharmed(kept)
     assert quality.keep_good(nothing, none).count() == 0
     assert str(quality.Condition(0, True, 3.0, 1)) == "n_words >= 3"

@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import pytest
 
+from clashes import unharmed
 from sluice.llm import sharding
 
 
@@ -29,6 +30,7 @@ def test_odd_rows(odd, nothing):
     assert sorted(out.columns) == sorted({*odd.columns, "shard", "depth", "shard_bytes", "shard_rows"})
     rows = out.collect()
     assert len(rows) == odd.count() and all(r.shard is not None for r in rows)
+    assert unharmed(out, "shard", "depth")
     twins = {r.shard for r in rows if r.doc_id == 10_001}
     assert len(twins) == 1
     assert sharding.shard(nothing, 1000).count() == 0
