@@ -8,6 +8,7 @@ Patterns, samples, counts and scores are column expressions; the models reach th
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -51,23 +52,71 @@ class Markov:
 _SPAN = "array<struct<start:int,end:int,kind:int,value:string>>"
 
 
+_PIECE = 64
+
+
+def _running(values: Column, op: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """What ``op`` makes of each of ``values`` (integers of 0 and above) and all before it.
+
+    An array that grows is copied at each step, so it is done in pieces, and by the same means over the pieces' ends: the time
+    is in proportion to the length up to many millions.
+    """
+    zero = F.lit(0).cast("int")
+    if levels == 0:
+        step = lambda a, x: let(op(a["last"], x), lambda y: F.struct(y.alias("last"), F.concat(a["out"], F.array(y)).alias("out")))
+        return F.aggregate(values, F.struct(zero.alias("last"), F.array().cast("array<int>").alias("out")), step)["out"]
+
+    def whole(pieces: Column) -> Column:
+        ends = F.transform(pieces, lambda p: F.element_at(p, -1))
+        moved = lambda before: F.transform(pieces, lambda p, k: F.transform(p, lambda x: op(F.coalesce(F.get(before, k - 1), zero), x)))
+        return F.flatten(let(_running(ends, op, levels - 1), moved))
+
+    def cut(v: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / _PIECE).cast("int"))
+        return let(F.transform(firsts, lambda k: _running(F.slice(v, k * _PIECE + 1, _PIECE), op, 0)), whole)
+
+    return let(values, lambda v: F.when(F.size(v) > 0, cut(v)).otherwise(F.array().cast("array<int>")))
+
+
+def _apart(tokens: Column, base: Column) -> Column:
+    """Those of ``tokens`` that meet no span of ``base``: in the order of places, no span that starts before a token's end
+    reaches beyond its start."""
+    place = lambda s, at, mark, reach: F.struct(at.alias("at"), F.lit(mark).alias("base"), reach.alias("reach"), s.alias("span"))
+    places = F.array_sort(
+        F.concat(
+            F.transform(base, lambda b: place(b, b["start"], 1, b["end"])),
+            F.transform(tokens, lambda t: place(t, t["end"], 0, F.lit(0))),
+        )
+    )
+
+    def met(p: Column) -> Column:
+        reached = _running(F.transform(p, lambda x: x["reach"]), F.greatest)
+        both = F.arrays_zip(p.alias("p"), reached.alias("reached"))
+        free = F.filter(both, lambda x: (x["p"]["base"] == 0) & (x["reached"] <= x["p"]["span"]["start"]))
+        return F.transform(free, lambda x: x["p"]["span"])
+
+    return F.when((F.size(tokens) > 0) & (F.size(base) > 0), let(places, met)).otherwise(tokens)
+
+
 def _spans(text: Column, pattern: str, group: int, least: int, kind: str) -> Column:
     """Leftmost matches in order, as (start, end, kind, value), in code points; without those too short."""
 
     def placed(gaps: Column) -> Column:
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         values = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+        matches = F.arrays_zip(F.slice(gaps, 1, F.size(gaps) - 1).alias("gaps"), found.alias("found"), values.alias("values"))
+        return let(matches, spans)
 
-        def step(a: Column, m: Column) -> Column:
-            begin = a["at"] + F.length(m["gaps"])
-            end = begin + F.length(m["found"])
-            span = F.struct(begin.alias("start"), end.alias("end"), F.lit(_ORDER.index(kind)).alias("kind"), m["values"].alias("value"))
-            long_enough = F.length(m["values"]) >= least
-            return F.struct(end.alias("at"), F.when(long_enough, F.concat(a["out"], F.array(span).cast(_SPAN))).otherwise(a["out"]).alias("out"))
+    def spans(matches: Column) -> Column:
+        ends = _running(F.transform(matches, lambda m: F.length(m["gaps"]) + F.length(m["found"])), lambda a, x: a + x)
 
-        matches = F.arrays_zip(F.slice(gaps, 1, F.size(gaps) - 1).alias("gaps"), found.alias("found"), values.alias("values"))
-        return F.aggregate(matches, start, step)["out"]
+        def span(m: Column) -> Column:
+            begin = m["ends"] - F.length(m["matches"]["found"])
+            kind_ = F.lit(_ORDER.index(kind))
+            return F.struct(begin.alias("start"), m["ends"].alias("end"), kind_.alias("kind"), m["matches"]["values"].alias("value"))
+
+        each = F.transform(F.arrays_zip(matches.alias("matches"), ends.alias("ends")), span)
+        return F.filter(each, lambda s: F.length(s["value"]) >= least).cast(_SPAN)
 
     none = F.array().cast(_SPAN)
     return F.when(text.rlike(pattern), let(F.split(text, pattern, -1), placed)).otherwise(none)
@@ -81,7 +130,10 @@ def _pairs(token: Column) -> Column:
 
 def train(samples: DataFrame, how: Markov) -> list[float]:
     """The log-likelihood ratio of each character pair, from ``samples`` (token, random)."""
-    counts = samples.select("random", F.explode(_pairs(F.col("token"))).alias("pair")).groupBy("random", "pair").count().collect()
+    # Each token is taken apart once, however often it occurs.
+    tokens = samples.groupBy("random", "token").agg(F.count(F.lit(1)).alias("n"))
+    pairs = tokens.select("random", "n", F.explode(_pairs(F.col("token"))).alias("pair"))
+    counts = pairs.groupBy("random", "pair").agg(F.sum("n")).collect()
     tables = {kind: [how.smooth] * (_SIZE * _SIZE) for kind in (True, False)}
     for kind, pair, n in counts:
         tables[kind][pair] += n
@@ -111,9 +163,7 @@ def scan(docs: DataFrame, how: Markov = Markov()) -> DataFrame:
     sampled = F.pmod(F.xxhash64(F.lit(5), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
     base = F.array_sort(F.concat(*(_spans(text, *rule, kind) for kind, rule in KINDS.items())))
     tokens = _spans(text, how.pattern, 0, how.least, RANDOM)
-    apart = F.filter(
-        "tokens", lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    )
+    apart = _apart(F.col("tokens"), F.col("base"))
     plain = text
     for pattern, _, _ in KINDS.values():
         plain = F.regexp_replace(plain, pattern, " ")
@@ -147,7 +197,8 @@ def listed(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts and digests of ``scan``'s rows."""
+    """Per row of ``scan``: doc_id (as it is, null or repeated), counts per kind and the digest of the base spans, all spans as text,
+    and n_random. A row without spans has counts of 0, the digest of the empty text and an empty text. No rows give none."""
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == _ORDER.index(kind))).cast("long")
     return found.select(
         "doc_id",

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from itertools import accumulate
 
 import pytest
 from pyspark.sql import functions as F
@@ -64,3 +66,35 @@ def test_added_spans_are_apart_from_base_ones(spark, given):
     docs = given.select("doc_id", "text").unionByName(spark.createDataFrame([(40_000, text)], "doc_id long, text string"))
     row = scan.digest(scan.scan(docs)).filter(F.col("doc_id") == 40_000).first()
     assert row.spans == "assign:0:27,random:32:53"
+
+
+def test_very_many_matches_in_one_text(spark):
+    """A text of 100,000 secrets of each kind: the time is in proportion, so this ends."""
+    lines = (f"token={'x' * (i % 9)} {hashlib.md5(b'%d' % i).hexdigest()} AKIA{i:017d} api_key: k{i:07d}" for i in range(100_000))
+    text = "\n".join(lines)
+    row = scan.digest(scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"))).first()
+    expected = spans(text)
+    assert row.base_sha256 == hashlib.sha256(",".join(expected).encode()).hexdigest()
+    assert [s for s in row.spans.split(",") if not s.startswith("random")] == expected and row.n_hex == 100_000
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 4095, 4096, 4097, 9000])
+def test_running_sums_and_maxima(spark, n):
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(n)), lambda x: F.pmod(x * 7919, F.lit(1009)).cast("int")).alias("v"))
+    df = df.select(F.slice("v", 1, n).alias("v"))
+    row = df.select("v", scan._running(F.col("v"), lambda a, x: a + x).alias("s"), scan._running(F.col("v"), F.greatest).alias("m")).first()
+    assert row.s == list(accumulate(row.v)) and row.m == list(accumulate(row.v, max))
+
+
+def test_tokens_apart_from_spans_against_brute_force(spark):
+    rng = random.Random(7)
+    cases = []
+    for k in range(300):
+        cuts = sorted(rng.sample(range(60), 2 * rng.randrange(0, 6)))
+        tokens = [(a, b, 3, "t") for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        base = sorted((a, a + rng.randrange(1, 9), rng.randrange(3), "b") for a in (rng.randrange(60) for _ in range(rng.randrange(5))))
+        cases.append((k, tokens, base))
+    df = spark.createDataFrame(cases, f"k int, tokens {scan._SPAN}, base {scan._SPAN}")
+    got = {r.k: [tuple(s) for s in r.free] for r in df.select("k", scan._apart(F.col("tokens"), F.col("base")).alias("free")).collect()}
+    for k, tokens, base in cases:
+        assert got[k] == [t for t in tokens if not any(b[0] < t[1] and t[0] < b[1] for b in base)]
