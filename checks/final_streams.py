@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.base import check, table
+from checks.base import check, new_folder, table
 from checks.jobs import _event_stream, _job, _messages
 from sluice import StepSpec, TableSchema, run_stream
 from sluice.plans.job import table_of
@@ -32,15 +32,26 @@ _MS = "date_trunc('millisecond', ts)"
 _PASSED = f"(SELECT max({_MS}) - INTERVAL 1 HOUR FROM events)"
 
 
-def _complete(spark, sf, what: str, window: dict, aggregations: list):
-    """The windows that a stream in append mode has put into its table."""
+def _complete(spark, sf, what: str, window: dict, aggregations: list, closed: bool = False):
+    """The windows that a stream in append mode has put into its table.
+
+    ``closed``: when all events are read, a last message of a later time moves the watermark on, as a source does that
+    ends, so that windows open until then are given out too. Its own window stays open.
+    """
     step = {
         "key_fields": ["event_type"], "time_field": "ts", "watermark": "1 hour", "final": True, "emit_window": True,
         "window": window, "aggregations": aggregations,
     }
     job = _job(spark, what, _SCHEMA, (StepSpec("aggregate", step),))
-    source = _messages(_event_stream(spark, sf))
-    run_stream(spark, job, f"{job.lake.warehouse}/checkpoint", source=source, trigger={"availableNow": True}).awaitTermination()
+    events, ends = table(spark, sf, "events"), f"{new_folder(spark, what)}-end"
+    last = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).withColumn("event_type", F.lit("end of the stream"))
+    last = last.select(*(F.col(f.name) if f.name in last.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema))
+    last.limit(0).write.parquet(ends)
+    source = _messages(_event_stream(spark, sf).unionByName(spark.readStream.schema(events.schema).parquet(ends)))
+    for more in (False, True) if closed else (False,):
+        if more:
+            last.write.mode("append").parquet(ends)
+        run_stream(spark, job, f"{job.lake.warehouse}/checkpoint", source=source, trigger={"availableNow": True}).awaitTermination()
     return table_of(spark, job).read().select("event_type", "window_start", *(a["output"] for a in aggregations))
 
 
@@ -72,8 +83,8 @@ def stream_sliding_panes(spark, sf):
     f"HAVING min(t) < {_PASSED} - INTERVAL 1 DAY"
 )
 def stream_session_panes(spark, sf):
-    """Sessions joined from finished panes; those of the last day may still be open."""
-    out = _complete(spark, sf, "stream_session_panes", {"type": "session", "gapSeconds": 900}, _SUMS)
+    """Sessions joined from finished panes, up to the last day; they may go on until the stream ends."""
+    out = _complete(spark, sf, "stream_session_panes", {"type": "session", "gapSeconds": 900}, _SUMS, closed=True)
     upto = F.date_trunc("millisecond", F.max("ts")) - F.expr("INTERVAL 25 HOURS")
     last = table(spark, sf, "events").agg(upto.cast("timestamp_ntz").alias("upto"))  # one row
     return out.join(F.broadcast(last), F.col("window_start") < F.col("upto")).drop("upto")

@@ -2,9 +2,12 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from checks.base import CHECKS
+from checks import final_streams  # noqa: F401, registers its checks
 from sluice import AggregateRule, ConfigError, aggregate_rows
 from sluice.streaming.processors import STORE
 
@@ -112,3 +115,17 @@ def test_what_has_no_bounded_state_is_refused(spark, tmp_path):
     for window, aggs in (({"type": "session", "gapSeconds": 9}, DISTINCT), ({"type": "sliding", "sizeSeconds": 5, "slideSeconds": 9}, SUMS)):
         with pytest.raises(ConfigError):
             aggregate_rows(stream, rule(window, aggs))
+
+
+def test_sessions_open_for_days_are_given_out_at_the_end(spark, tmp_path):
+    """One type in one session from the first event to the last, one with sessions that end before, one in the last day only."""
+    at = lambda every, k: f"SELECT '{k}' AS event_type, TIMESTAMP_NTZ '2024-01-01' + id * INTERVAL {every} SECONDS AS ts, id FROM range({345600 // every})"
+    rows = spark.sql(f"{at(600, 'a')} UNION ALL {at(3600, 'b')} UNION ALL SELECT 'c', ts, id FROM ({at(300, 'c')}) WHERE ts > TIMESTAMP_NTZ '2024-01-04'")
+    made = rows.selectExpr("row_number() OVER (ORDER BY event_type, id) AS event_id", "ts", "id AS user_id", "event_type", "id / 8 AS value", "CAST(NULL AS STRING) AS props")
+    made.coalesce(1).write.parquet(f"{tmp_path}/sf/events.parquet")
+    found = CHECKS["stream_session_panes"]
+    got = {tuple(r) for r in found.run(spark, f"{tmp_path}/sf").collect()}
+    with duckdb.connect() as duck:
+        duck.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/sf/events.parquet/*.parquet'")
+        want = set(duck.execute(found.sql).fetchall())
+    assert got == want and {(k, n) for k, _, n, _ in got} == {("a", 576), ("b", 1)}
