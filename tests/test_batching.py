@@ -85,6 +85,30 @@ def test_lanes_share_the_rows(spark, tmp_path, store):
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] > 0
 
 
+def test_no_task_has_all_rows_of_a_lane(spark, tmp_path, store):
+    """Full batches of a file are spread over tasks in blocks; what is left of it, and of the next one, fills up in the lane."""
+
+    def where(_spec):
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        return lambda batch: [{"size": len(batch), "key": task}] * len(batch)
+
+    made = spec(batch_size=7, max_wait_ms=3_600_000, extra_config={"carry": True})
+    for n, rows in {"a": 40_000, "b": 3, "c": 7}.items():
+        spark.range(rows).selectExpr("IF(id % 5 = 0, NULL, id + (1L << 60)) AS id", f"'{n}' || id AS text", "CURRENT_TIMESTAMP() AS _at", "1.5BD AS d").coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        time.sleep(0.01)
+    stream = spark.readStream.schema("id long, text string, _at timestamp, d decimal(9,2)").option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    out = infer(stream, made, where, OUT).writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    assert out.option("checkpointLocation", f"{tmp_path}/ck").trigger(**ONCE).start().awaitTermination(60)
+    got = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert len(got) == 40_010 // 7 * 7 and {r.size for r in got} == {7}
+    texts = {r.text: r.id for r in got}
+    assert len(texts) == len(got) and all(i == (None if int(t[1:]) % 5 == 0 else int(t[1:]) + 2**60) for t, i in texts.items())
+    tasks = [r.key for r in got]
+    assert max(map(tasks.count, set(tasks))) < 30_000
+
+
 def test_a_batch_run_carries_nothing(spark):
     df = spark.range(10).coalesce(1)
     out = infer(df, spec(batch_size=4, extra_config={"carry": True}), sizes(), OUT)
