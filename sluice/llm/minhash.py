@@ -7,7 +7,8 @@ tell how many samples differ, and most precisely where few do; candidates below
 allows are dropped by it, and the rest is confirmed on the full sets. In a bucket candidates are tied to a pivot and not to
 each other; the pivot is the member that shares most buckets, which is near to most. What is then still outside of a bucket's
 largest component is compared with the members of other components, in the first bucket that both are in: links are
-complete for all candidates, and no group of copies is expanded into its pairs.
+complete for all candidates, and no group of copies is expanded into its pairs. Full sets of ordinary size go along there,
+so that pairs just below the threshold, which sketches cannot tell from links, are dropped where they meet.
 """
 
 from __future__ import annotations
@@ -113,6 +114,10 @@ def _signed(part: Slice, how: MinHash):
     return sizes, digests.view(np.int64), bands, sketch
 
 
+# Sets of so many shingles are compared where documents meet; of larger ones the sketch alone is there.
+_CARRIED = 1024
+
+
 _SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, sketch array<long>"
 
 
@@ -253,20 +258,24 @@ class _Search:
         left = named.join(apart.select("bucket", "main"), "bucket")
         # A document is in as many buckets as there are bands at most; its sketch is fetched once for all of them.
         spots = left.groupBy(F.col("id").alias("b"), F.col("id_c").alias("b_c")).agg(F.collect_list(F.struct("bucket", "band", "main")).alias("spots"))
-        left = self._with_sketch(spots, "b", "bands").select("*", F.inline("spots")).drop("spots")
+        size = F.size("shingles")
+        sets = self.sets.select(F.col("id").alias("b"), size.alias("n_b"), F.when(size <= _CARRIED, F.col("shingles")).alias("set_b"))
+        left = self._with_sketch(spots, "b", "bands").join(sets, ["b", "n_b"]).select("*", F.inline("spots")).drop("spots")
         left = written(left, "open-buckets")
         others = left.filter("b_c <> main")
         if others.isEmpty():
             return self.labels
         # What is outside of a bucket's largest component against all that is in another one. Compared where they meet, so
         # that a pair that sketches rule out is never written, and in the first of its common buckets only.
-        names = {"b": "a", "b_c": "a_c", "n_b": "n_a", "s_b": "s_a", "bands_b": "bands_a"}
+        names = {"b": "a", "b_c": "a_c", "n_b": "n_a", "s_b": "s_a", "bands_b": "bands_a", "set_b": "set_a"}
         ours = others.select("bucket", *(F.col(c).alias(name) for c, name in names.items()))
         meets = F.col("x.bucket") == F.col("y.bucket")
         # Two outside of the largest meet from both sides; one is enough.
         once = F.expr("a_c <> b_c") & ((F.col("b_c") == F.col("y.main")) | F.expr("a > b"))
         band = F.array_position(F.zip_with("bands_a", "bands_b", lambda p, q: p == q), F.lit(True)) - 1
-        met = ours.alias("x").join(left.alias("y"), meets & once & self._possible & (band == F.col("y.band")))
+        common, percent = F.size(F.array_intersect("set_a", "set_b")), self.how.percent
+        similar = F.expr("set_a IS NULL OR set_b IS NULL") | ((100 + percent) * common >= percent * (F.col("n_a") + F.col("n_b")))
+        met = ours.alias("x").join(left.alias("y"), meets & once & self._possible & (band == F.col("y.band")) & similar)
         self.confirm(met.select("a", "b"))
         return self.labels
 

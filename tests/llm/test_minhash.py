@@ -111,3 +111,28 @@ def test_sketches_keep_pairs_at_the_threshold(spark):
     kept = df.select("n", "unlike", (differ <= how.most_bits(F.col("n_a"), F.col("n_b"))).alias("kept")).collect()
     assert all(r.kept for r in kept if not r.unlike)
     assert not any(r.kept for r in kept if r.unlike and 100 < r.n < 5000)
+
+
+def test_pairs_just_below_the_threshold_are_dropped_where_they_meet(spark, monkeypatch):
+    """Many copies of one text, most pairs of which are at 0.7 to 0.8: sketches let them pass, and only links may be written."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        for k in rng.sample(range(150), 5):
+            words[k] = f"c{i}x{k}"
+        rows.append((i, " ".join(words)))
+    counts, confirm = [], minhash._Search.confirm
+
+    def counted(self, pairs):
+        counts.append(pairs.count())
+        confirm(self, pairs)
+
+    monkeypatch.setattr(minhash._Search, "confirm", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(df, 2)
+    sets = [shingles(t, 2) for _, t in rows]
+    at = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
+    links = sum(j >= 0.8 for j in at)
+    assert sum(0.7 <= j < 0.8 for j in at) > 1000 and len(counts) == 3 and counts[2] <= links
